@@ -264,19 +264,19 @@ def statements() -> dict[str, str]:
         "filter_workspace": _sql(_CURRENT, "SELECT * FROM current_ds WHERE workspace_name = 'ws-2'"),
         "filter_workspace_drift": _sql(_DRIFT, "SELECT * FROM drift WHERE workspace_name = 'ws-2'"),
         "filter_category": _sql(
-            _PREVIEWS, "SELECT * FROM preview_ds WHERE category IN ('governance', 'platform')"
+            _PREVIEWS, "SELECT * FROM preview_ds WHERE category IN ('ingestion', 'platform')"
         ),
         "filter_category_consistency": _sql(
-            _CONSISTENCY, "SELECT * FROM consistency WHERE category IN ('governance', 'platform')"
+            _CONSISTENCY, "SELECT * FROM consistency WHERE category IN ('ingestion', 'platform')"
         ),
         "filter_values": _sql(
             _CURRENT,
-            """SELECT workspace_name, count(*) FILTER (category IN ('governance', 'platform')) AS selectable_rows
+            """SELECT workspace_name, count(*) FILTER (category IN ('ingestion', 'platform')) AS selectable_rows
                FROM current_ds GROUP BY workspace_name""",
         ),
         "cross_filter": _sql(
             _CURRENT,
             """SELECT scope, count(setting_name) AS setting_count FROM current_ds
-               WHERE workspace_name = 'ws-2' AND category = 'governance' GROUP BY scope""",
+               WHERE workspace_name = 'ws-2' AND category = 'ingestion' GROUP BY scope""",
         ),
     }

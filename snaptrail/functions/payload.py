@@ -36,13 +36,23 @@ def _message_text(message: Column) -> Column:
     )
 
 
-def _direct_text(field: Column) -> Column:
+def _other_message(doc: Column) -> Column:
+    """The first effective message, by name, that has a set field."""
+    fields = F.try_variant_get(doc, "$", _FIELD_MAP)
+    names = F.filter(F.map_keys(fields), lambda key: key.startswith(EFFECTIVE_PREFIX))
+    texts = F.transform(F.sort_array(names), lambda name: _message_text(F.element_at(fields, name)))
+    return F.get(F.filter(texts, lambda text: text.isNotNull()), 0)
+
+
+def _direct_text(doc: Column, name: str) -> Column:
     """A direct field is a plain value, or an object that wraps one in ``value``."""
-    inner = F.try_variant_get(field, "$", _FIELD_MAP)
-    return (
-        F.when(inner.isNull(), _text(field))
-        .when(F.map_contains_key(inner, "value"), _text(F.try_variant_get(field, "$.value", "variant")))
-        .when(F.size(inner) > 0, _text(field))
+    field = F.try_variant_get(doc, f"$.{name}", "variant")
+    wrapped = F.try_variant_get(doc, f"$.{name}.value", "variant")
+    members = F.try_variant_get(field, "$", _FIELD_MAP)
+    is_unset = (F.size(members) == 0) | F.map_contains_key(members, "value")
+    return F.coalesce(
+        _text(wrapped),
+        F.when(field.isNotNull() & ~F.coalesce(is_unset, F.lit(False)), _text(field)),
     )
 
 
@@ -58,23 +68,24 @@ def with_payload_value(
     fields. A payload with only a name is "not set", NULL is "null", and a failed read or broken
     JSON is "unavailable". Each payload is parsed once.
     """
-    parsed = payloads.withColumn("_doc", F.try_parse_json(payload)).withColumn(
-        "_fields", F.try_variant_get("_doc", "$", _FIELD_MAP)
-    )
-    doc, fields = F.col("_doc"), F.col("_fields")
-
-    typed = [_text(F.try_variant_get(doc, f"$.{name}.value", "variant")) for name in EFFECTIVE_FIELDS]
-    names = F.filter(F.array_sort(F.map_keys(fields)), lambda key: key.startswith(EFFECTIVE_PREFIX))
-    messages = F.transform(names, lambda name: _message_text(F.element_at(fields, name)))
-    message = F.get(F.filter(messages, lambda text: text.isNotNull()), 0)
-    direct = [_direct_text(F.try_variant_get(doc, f"$.{name}", "variant")) for name in DIRECT_FIELDS]
-    not_set = F.when(F.map_contains_key(fields, "name"), NOT_SET)
-
+    text, doc, typed, message = F.col(payload), F.col("_doc"), F.col("_typed"), F.col("_message")
+    effective = [_text(F.try_variant_get(doc, f"$.{name}.value", "variant")) for name in EFFECTIVE_FIELDS]
+    # A backslash may hide the prefix in an escaped name.
+    may_have_message = text.contains(EFFECTIVE_PREFIX) | text.contains("\\")
+    direct = [_direct_text(doc, name) for name in DIRECT_FIELDS]
+    not_set = F.when(F.try_variant_get(doc, "$.name", "variant").isNotNull(), NOT_SET)
     value = (
         F.when(F.coalesce(F.col(read_failed), F.lit(False)), UNAVAILABLE)
-        .when(F.col(payload).isNull(), NULL_VALUE)
+        .when(text.isNull(), NULL_VALUE)
         .when(doc.isNull(), UNAVAILABLE)
         .when(F.is_variant_null(doc), NULL_VALUE)
-        .otherwise(F.coalesce(*typed, message, *direct, not_set, _text(doc)))
+        .otherwise(F.coalesce(typed, message, *direct, not_set, _text(doc)))
+    )
+    # One column per step, so that each payload is parsed once and only opened as far as needed.
+    return (
+        payloads.withColumn("_doc", F.try_parse_json(text))
+        .withColumn("_typed", F.coalesce(*effective))
+        .withColumn("_message", F.when(typed.isNull() & may_have_message, _other_message(doc)))
+        .withColumn(output, value)
+        .drop("_doc", "_typed", "_message")
     )
-    return parsed.withColumn(output, value).drop("_doc", "_fields")

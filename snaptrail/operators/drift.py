@@ -21,7 +21,7 @@ from snaptrail.operators.runs import (
     latest_run,
     previous_run,
     rows_since,
-    timeline,
+    with_neighbours,
 )
 
 _SERIES = ("setting_name", "_workspace")
@@ -42,15 +42,18 @@ def drift(
     ``runs`` may give the run times where they are known without reading the history. Without
     ``category_map`` the category is NULL.
     """
-    links = timeline(history if runs is None else runs, layout.run, small_timeline_bytes)
-    rows = lookup(_observations(history, layout), links, layout.run, broadcast_bytes)
-    as_current = _side(F.when(~F.col("is_first"), F.col(layout.run)), current=True)
-    as_previous = _side(F.col("next_run"), current=False)
-    sides = rows.select(*_SERIES, F.inline(F.array(as_current, as_previous)))
+    times = history if runs is None else runs
+    rows = with_neighbours(
+        _observations(history, layout), times, layout.run, small_timeline_bytes, broadcast_bytes
+    )
+    own_cell = F.when(~F.col("is_first"), F.col(layout.run))
+    sides = rows.withColumn("_current", F.explode(F.array(F.lit(True), F.lit(False)))).withColumn(
+        "detected_at", F.when(F.col("_current"), own_cell).otherwise(F.col("next_run"))
+    )
     cells = (
         sides.where(F.col("detected_at").isNotNull())
         .groupBy(*_SERIES, "detected_at")
-        .agg(*[F.max(c).alias(c) for c in ("_value", "_label", "_previous", "_previous_label")])
+        .agg(*_both_sides(F.col("_current")))
     )
     return _changes(cells, category_map, labels_version, broadcast_bytes)
 
@@ -65,20 +68,7 @@ def latest_drift(
     """The rows of :func:`drift` detected in the newest run, reading only the two newest runs."""
     newest, before = latest_run(history, layout), previous_run(history, layout)
     rows = _observations(rows_since(history, before, 2, layout), layout)
-    in_newest = F.col(layout.run) == newest
-
-    def newest_only(column: str) -> Column:
-        return F.max(F.when(in_newest, F.col(column)))
-
-    def before_only(column: str) -> Column:
-        return F.max(F.when(~in_newest, F.col(column)))
-
-    cells = rows.groupBy(*_SERIES).agg(
-        newest_only("_observed").alias("_value"),
-        newest_only("_observed_label").alias("_label"),
-        before_only("_observed").alias("_previous"),
-        before_only("_observed_label").alias("_previous_label"),
-    )
+    cells = rows.groupBy(*_SERIES).agg(*_both_sides(F.col(layout.run) == newest))
     return _changes(cells.withColumn("detected_at", newest), category_map, labels_version, broadcast_bytes)
 
 
@@ -92,17 +82,17 @@ def _observations(history: DataFrame, layout: Layout) -> DataFrame:
     )
 
 
-def _side(run: Column, current: bool) -> Column:
-    """An observation as seen from the cell of ``run``: as its current or its previous state."""
-    nothing = F.lit(None).cast("string")
-    value, label = F.col("_observed"), F.col("_observed_label")
-    return F.struct(
-        run.alias("detected_at"),
-        (value if current else nothing).alias("_value"),
-        (label if current else nothing).alias("_label"),
-        (nothing if current else value).alias("_previous"),
-        (nothing if current else label).alias("_previous_label"),
-    )
+def _both_sides(is_current: Column) -> list[Column]:
+    """Current and previous state of a cell; repeated observations count as their maximum."""
+    return [
+        F.max(F.when(side, F.col(column))).alias(name)
+        for side, column, name in (
+            (is_current, "_observed", "_value"),
+            (is_current, "_observed_label", "_label"),
+            (~is_current, "_observed", "_previous"),
+            (~is_current, "_observed_label", "_previous_label"),
+        )
+    ]
 
 
 def _changes(

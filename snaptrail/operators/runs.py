@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from snaptrail.layout import Layout
-from snaptrail.operators.lookup import cut_lineage, size_in_bytes
+from snaptrail.operators.lookup import BROADCAST_BYTES, cut_lineage, lookup, size_in_bytes
 
 # Up to this many bytes of distinct runs are ordered in one task (about 500,000 runs).
 SMALL_TIMELINE_BYTES = 12 * 1024 * 1024
@@ -58,14 +58,23 @@ def _newest(rows: DataFrame, column: str, count: int) -> DataFrame:
     return rows.select(column).distinct().orderBy(F.desc(column)).limit(count)
 
 
-def timeline(
-    runs: DataFrame, run: str = "collected_at", small_bytes: int = SMALL_TIMELINE_BYTES
+def with_neighbours(
+    rows: DataFrame,
+    runs: DataFrame,
+    run: str = "collected_at",
+    small_bytes: int = SMALL_TIMELINE_BYTES,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """One row per distinct run: the run, ``next_run`` (NULL for the last) and ``is_first``."""
+    """Rows with ``next_run`` (NULL in the last run) and ``is_first`` (true in the first run).
+
+    ``runs`` has the run times, repeated or not. The usual few thousand runs are ordered in one
+    task and broadcast; their measured size decides, and any number of runs works.
+    """
     distinct = runs.select(run).distinct()
     if size_in_bytes(distinct) <= small_bytes:
-        return _chained(distinct, run, Window.orderBy(run))
-    return _ranged_timeline(distinct, run)
+        links = _chained(distinct, run, Window.orderBy(run))
+        return rows.join(F.broadcast(links), run, "left")
+    return lookup(rows, _ranged_timeline(distinct, run), run, broadcast_bytes)
 
 
 def _chained(runs: DataFrame, run: str, window) -> DataFrame:

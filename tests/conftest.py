@@ -13,6 +13,7 @@ def spark(tmp_path_factory):
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.driver.host", "localhost")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.warehouse.dir", str(folder / "warehouse"))
         .config("spark.checkpoint.dir", str(folder / "checkpoints"))
         .getOrCreate()
