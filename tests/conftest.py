@@ -1,6 +1,12 @@
+import os
+import time
+
 import pytest
 from pyspark.sql import SparkSession
 
+os.environ["TZ"] = "UTC"
+time.tzset()
+
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):

@@ -1,0 +1,75 @@
+"""Datasets, widgets and filters where the oracle's data does not reach."""
+
+import pytest
+
+from snaptrail.operators.latest import latest_snapshot
+from snaptrail.plans import datasets, filters, widgets
+from snaptrail.sources import tables
+from tests.histories import category_map, day, history, random_rows
+from tests.plans import final_plan
+
+
+@pytest.fixture(scope="module")
+def current(spark):
+    rows = [
+        (1, None, "a", "true", {"category": "x"}),
+        (1, 1, "a", "true", {"category": "x", "preview_phase": "BETA"}),
+        (1, 1, "b", "off", {"category": "y"}),
+        (1, 2, "b", "zzz", {"preview_phase": "BETA"}),
+    ]
+    return datasets.current_settings(latest_snapshot(history(spark, rows), category_map(spark, [])))
+
+
+def rows_of(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+def test_counters(current):
+    assert rows_of(widgets.settings_discovered(current)) == [(2,)]
+    assert rows_of(widgets.workspaces_scanned(current)) == [(2,)]
+    assert rows_of(widgets.preview_count(current)) == [(2,)]
+    assert rows_of(widgets.settings_by_category(current)) == [("x", 1), ("y", 1), (None, 1)]
+
+
+def test_no_filter_keeps_everything(current):
+    assert filters.filtered(current).count() == 4
+
+
+def test_filters_combine(current):
+    assert filters.filtered(current, "ws-1").count() == 2
+    assert filters.filtered(current, categories=["x", "y"]).count() == 3
+    assert filters.filtered(current, "ws-1", ["x"]).count() == 1
+    assert filters.filtered(current, clicked={"category": None}).count() == 1
+    assert filters.filtered(current, clicked={"scope": "workspace", "is_preview": True}).count() == 2
+
+
+def test_values_that_the_other_filters_exclude_stay_on_offer(current):
+    offered = filters.filter_values(current, "workspace_name", filters.matches(categories=["x"]))
+    assert rows_of(offered) == [("ws-1", 1), ("ws-2", 0), (None, 1)]
+    assert rows_of(filters.filter_values(current, "category")) == [("x", 2), ("y", 1), (None, 1)]
+
+
+def test_collection_history_is_the_ten_newest_runs(spark, tmp_path):
+    rows = history(spark, random_rows(6, settings=9, runs=14))
+    tables.append_snapshot(rows, str(tmp_path / "h"))
+    stored = tables.read_history(spark, str(tmp_path / "h"))
+    found = datasets.collection_history(stored, tables.STORED_HISTORY)
+    assert [r.collected_at for r in found.collect()] == [day(n) for n in range(14, 4, -1)]
+    assert rows_of(found) == rows_of(datasets.collection_history(rows))
+    assert {r.workspaces for r in found.collect()} == {4}
+    assert "PartitionFilters: [isnotnull(collected_on" in final_plan(found)
+
+
+def test_sorted_datasets(spark):
+    changes = spark.createDataFrame(
+        [(day(1), "a"), (day(3), "c"), (day(3), "b")], "detected_at TIMESTAMP, setting_name STRING"
+    ).selectExpr(
+        "date(detected_at) AS change_date", "*", "'w' AS workspace_name", "'k' AS category",
+        "'added' AS change_type", "'p' AS previous_value", "'n' AS new_value",
+    )
+    assert [r.setting_name for r in datasets.drift_newest_first(changes).collect()] == ["b", "c", "a"]
+    consistency = spark.createDataFrame(
+        [("a", "INCONSISTENT", 2), ("b", "CONSISTENT", 1), ("c", "INCONSISTENT", 3)],
+        "setting_name STRING, consistency_status STRING, distinct_values BIGINT",
+    ).selectExpr("*", "'k' AS category", "1 AS workspace_count", "'v' AS sample_value")
+    assert [r.setting_name for r in datasets.consistency_sorted(consistency).collect()] == ["b", "c", "a"]
