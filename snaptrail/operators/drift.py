@@ -108,7 +108,11 @@ def _changes(
         changed = changed.withColumn("category", F.lit(None).cast("string"))
     else:
         changed = lookup(
-            changed, current_category(category_map, labels_version), "setting_name", broadcast_bytes
+            changed,
+            current_category(category_map, labels_version),
+            "setting_name",
+            broadcast_bytes,
+            bound=category_map.select("setting_name", "category"),
         )
     return changed.select(
         values.utc_date(changed, "detected_at").alias("change_date"),

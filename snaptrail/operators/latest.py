@@ -44,4 +44,5 @@ def with_category(
         F.col("setting_name").alias(layout.name), F.col("category").alias("_category")
     )
     resolved = F.coalesce(F.col("_category"), F.col(layout.category))
-    return lookup(rows, side, layout.name, broadcast_bytes).withColumn(layout.category, resolved)
+    bound = category_map.select("setting_name", "category")
+    return lookup(rows, side, layout.name, broadcast_bytes, bound).withColumn(layout.category, resolved)

@@ -19,23 +19,26 @@ _CELL_OVERHEAD_BYTES = 16
 
 def size_in_bytes(df: DataFrame) -> int:
     """Measured size of a table: text length plus a fixed overhead for every cell (an action)."""
-    row = sum(
-        (F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c in df.columns),
-        F.lit(_CELL_OVERHEAD_BYTES * len(df.columns)),
-    )
-    return df.agg(F.sum(row)).first()[0] or 0
+    cells = [f"coalesce(octet_length(CAST(`{c}` AS STRING)), 0)" for c in df.columns]
+    row = " + ".join([*cells, str(_CELL_OVERHEAD_BYTES * len(cells))])
+    return df.agg(F.expr(f"sum({row})")).first()[0] or 0
 
 
 def lookup(
-    rows: DataFrame, side: DataFrame, on: str, broadcast_bytes: int = BROADCAST_BYTES
+    rows: DataFrame,
+    side: DataFrame,
+    on: str,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    bound: DataFrame | None = None,
 ) -> DataFrame:
     """Left join ``rows`` to ``side``, which has one row per ``on``.
 
     A side table within ``broadcast_bytes`` is broadcast. A larger one is joined by a shuffle that
     no hot key can unbalance: rows of heavy keys never enter the shuffle, because the side rows of
-    those few keys are broadcast to them instead.
+    those few keys are broadcast to them instead. ``bound`` may give a table that is at least as
+    large as ``side`` and cheaper to measure.
     """
-    if size_in_bytes(side) <= broadcast_bytes:
+    if size_in_bytes(side if bound is None else bound) <= broadcast_bytes:
         return rows.join(F.broadcast(side), on, "left")
     heavy = F.broadcast(heavy_keys(rows, on))
     heavy_side = F.broadcast(side.join(heavy, on, "left_semi"))

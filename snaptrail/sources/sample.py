@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
+
+# Columns of the generated tables that are read here. Given to the reader, so that
+# no job has to look into the files for them.
+EVENTS_SCHEMA = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE"
+LINEITEM_SCHEMA = "l_partkey BIGINT, l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ"
 
 
 def settings_history(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -11,102 +15,80 @@ def settings_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Five users share a setting name; the first of them is the account, the others workspaces 1-4.
     """
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    last_of_day = events.groupBy("user_id", F.to_date("ts").alias("day")).agg(
-        F.max(F.struct("event_id", "event_type", "value")).alias("last")
-    )
-    number = F.floor(F.col("user_id") / 5).cast("int")
-    workspace = F.when(F.col("user_id") % 5 != 0, F.col("user_id") % 5)
-    return last_of_day.select(
-        F.col("day").cast("timestamp_ntz").alias("collected_at"),
-        F.lit("acct-1").alias("account_id"),
-        F.when(workspace.isNull(), "account").otherwise("workspace").alias("scope"),
-        workspace.alias("workspace_id"),
-        F.concat(F.lit("ws-"), workspace.cast("string")).alias("workspace_name"),
-        F.concat(F.lit("setting_"), number.cast("string")).alias("setting_name"),
-        _event_value(F.col("last.event_type"), F.col("last.value")).alias("setting_value"),
-        F.lit("StringSetting").alias("setting_type"),
-        F.lit("synthetic").alias("source"),
-        F.when(number % 20 == 9, "platform").alias("category"),
-        _phase(number % 7).alias("preview_phase"),
-        F.concat(F.lit("about setting "), number.cast("string")).alias("description"),
+    return spark.sql(
+        """
+        WITH last_of_day AS (
+          SELECT user_id, to_date(ts) AS day, max(struct(event_id, event_type, value)) AS last
+          FROM {events} GROUP BY user_id, to_date(ts)),
+        observed AS (
+          SELECT day, last.event_type AS kind, last.value AS value,
+            CAST(floor(user_id / 5) AS INT) AS n, nullif(user_id % 5, 0) AS w
+          FROM last_of_day)
+        SELECT CAST(day AS TIMESTAMP_NTZ) AS collected_at, 'acct-1' AS account_id,
+          if(w IS NULL, 'account', 'workspace') AS scope, w AS workspace_id,
+          concat('ws-', CAST(w AS STRING)) AS workspace_name, concat('setting_', CAST(n AS STRING)) AS setting_name,
+          CASE WHEN kind = 'click' THEN 'True' WHEN kind = 'view' THEN 'disabled' WHEN kind = 'purchase' THEN 'on'
+               WHEN kind = 'signup' THEN if(value >= 3, 'custom', NULL)
+               WHEN value < 4 THEN '<unavailable>' WHEN value < 8 THEN '<not-set>' ELSE '<null>' END AS setting_value,
+          'StringSetting' AS setting_type, 'synthetic' AS source,
+          if(n % 20 = 9, 'platform', NULL) AS category,
+          get(array(NULL, 'GA', 'PreviewPhase.GA', 'BETA', 'PUBLIC_PREVIEW', 'PRIVATE_PREVIEW', 'None'), n % 7)
+            AS preview_phase,
+          concat('about setting ', CAST(n AS STRING)) AS description
+        FROM observed
+        """,
+        events=_events(spark, sf_dir),
     )
 
 
 def category_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two label sets; the newer one covers even settings only, and some settings have no entry."""
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    numbers = events.select(F.floor(F.col("user_id") / 5).cast("int").alias("i")).distinct()
-    label_sets = F.array(
-        F.struct(F.lit("v_old").alias("version"), F.lit(0).alias("shift"), F.lit("2024-01-01").alias("day")),
-        F.struct(F.lit("v_new").alias("version"), F.lit(1).alias("shift"), F.lit("2024-01-15").alias("day")),
-    )
-    entries = numbers.select("i", F.inline(label_sets)).where(
-        (F.col("i") % 10 != 9) & ((F.col("version") == "v_old") | (F.col("i") % 2 == 0))
-    )
-    labels = F.array(*[F.lit(label) for label in ("governance", "ingestion", "compute", "other")])
-    return entries.select(
-        F.concat(F.lit("setting_"), F.col("i").cast("string")).alias("setting_name"),
-        F.get(labels, (F.col("i") + F.col("shift")) % 4).alias("category"),
-        F.col("version").alias("labels_version"),
-        F.col("day").cast("date").cast("timestamp_ntz").alias("classified_at"),
+    return spark.sql(
+        """
+        WITH numbers AS (SELECT DISTINCT CAST(floor(user_id / 5) AS INT) AS i FROM {events}),
+        entries AS (
+          SELECT i, inline(array(struct('v_old' AS version, 0 AS shift, '2024-01-01' AS day),
+                                 struct('v_new' AS version, 1 AS shift, '2024-01-15' AS day)))
+          FROM numbers)
+        SELECT concat('setting_', CAST(i AS STRING)) AS setting_name,
+          get(array('governance', 'ingestion', 'compute', 'other'), (i + shift) % 4) AS category,
+          version AS labels_version, CAST(day AS TIMESTAMP_NTZ) AS classified_at
+        FROM entries WHERE i % 10 <> 9 AND (version = 'v_old' OR i % 2 = 0)
+        """,
+        events=_events(spark, sf_dir),
     )
 
 
 def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One raw JSON setting payload per event, in six forms; some NULL, some failed to be read."""
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    form = F.col("event_id") % 6
-    flag = F.when(F.col("value") < 5, "true").otherwise("false")
-
-    def message(field: str, value: Column, quote: str = "") -> Column:
-        return F.concat(F.lit(f'{{"name":"s","{field}":{{"value":{quote}'), value, F.lit(f"{quote}}}}}"))
-
-    payload = (
-        F.when(form == 0, message("effective_boolean_val", flag))
-        .when(form == 1, message("effective_string_val", F.col("event_type"), '"'))
-        .when(form == 2, message("effective_integer_val", F.col("user_id").cast("string")))
-        .when(form == 3, message("string_val", F.col("event_type"), '"'))
-        .when(form == 4, '{"name":"s"}')
-    )
-    return events.select(
-        "event_id",
-        F.concat(F.lit("setting_"), F.col("user_id").cast("string")).alias("setting_name"),
-        payload.alias("payload"),
-        (F.col("event_id") % 12 == 5).alias("read_failed"),
-        "user_id",
+    return spark.sql(
+        """
+        SELECT event_id, concat('setting_', CAST(user_id AS STRING)) AS setting_name,
+          CASE event_id % 6
+            WHEN 0 THEN concat('{{"name":"s","effective_boolean_val":{{"value":', CAST(value < 5 AS STRING), '}}}}')
+            WHEN 1 THEN concat('{{"name":"s","effective_string_val":{{"value":"', event_type, '"}}}}')
+            WHEN 2 THEN concat('{{"name":"s","effective_integer_val":{{"value":', CAST(user_id AS STRING), '}}}}')
+            WHEN 3 THEN concat('{{"name":"s","string_val":{{"value":"', event_type, '"}}}}')
+            WHEN 4 THEN '{{"name":"s"}}' END AS payload,
+          event_id % 12 = 5 AS read_failed, user_id
+        FROM {events}
+        """,
+        events=_events(spark, sf_dir),
     )
 
 
 def parts_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A large sparse history: monthly runs, a series per part, few of which ship in a given month."""
-    lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    return lineitem.groupBy(
-        F.trunc("l_shipdate", "MM").cast("timestamp_ntz").alias("collected_at"),
-        (F.col("l_partkey") % 5).alias("workspace_id"),
-        F.concat(F.lit("part_"), F.col("l_partkey").cast("string")).alias("setting_name"),
-    ).agg(F.max(F.concat("l_returnflag", "l_linestatus")).alias("setting_value"))
-
-
-def _event_value(kind: Column, value: Column) -> Column:
-    unread = (
-        F.when(value < 4, "<unavailable>").when(value < 8, "<not-set>").otherwise("<null>")
-    )
-    return (
-        F.when(kind == "click", "True")
-        .when(kind == "view", "disabled")
-        .when(kind == "purchase", "on")
-        .when(kind == "signup", F.when(value >= 3, "custom"))
-        .otherwise(unread)
+    return spark.sql(
+        """
+        SELECT CAST(trunc(l_shipdate, 'MM') AS TIMESTAMP_NTZ) AS collected_at, l_partkey % 5 AS workspace_id,
+          concat('part_', CAST(l_partkey AS STRING)) AS setting_name,
+          max(concat(l_returnflag, l_linestatus)) AS setting_value
+        FROM {lineitem} GROUP BY trunc(l_shipdate, 'MM'), l_partkey
+        """,
+        lineitem=spark.read.schema(LINEITEM_SCHEMA).parquet(f"{sf_dir}/lineitem.parquet"),
     )
 
 
-def _phase(residue: Column) -> Column:
-    return (
-        F.when(residue == 1, "GA")
-        .when(residue == 2, "PreviewPhase.GA")
-        .when(residue == 3, "BETA")
-        .when(residue == 4, "PUBLIC_PREVIEW")
-        .when(residue == 5, "PRIVATE_PREVIEW")
-        .when(residue == 6, "None")
-    )
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet")
