@@ -35,8 +35,7 @@ def build_snapshot(
 
 def collect(
     rows: DataFrame,
-    history_path: str,
-    map_path: str,
+    store: tables.PathStore | tables.CatalogStore,
     classifier: categories.Classifier,
     classified_at: Column,
     labels: Iterable[str] | str = DEFAULT_LABELS,
@@ -50,17 +49,17 @@ def collect(
     spark = rows.sparkSession
     if labels:
         settings = categories.distinct_settings(rows)
-        known = tables.read_categories(spark, map_path)
+        known = store.categories(spark)
         new = categories.classify_new(settings, known, labels, classifier, classified_at)
         try:
-            tables.append_categories(new, map_path)
+            store.append_categories(new)
         except Exception as error:  # any failure of a user's classifier surfaces here
             logger.error("classification failed, new settings stay uncategorized: %s", error)
-        rows = categories.apply_categories(rows, tables.read_categories(spark, map_path), labels)
+        rows = categories.apply_categories(rows, store.categories(spark), labels)
     else:
         logger.warning("no labels given, settings stay uncategorized")
         rows = rows.withColumn("category", F.lit(None).cast("string"))
-    tables.append_snapshot(rows, history_path)
-    history = tables.read_history(spark, history_path)
-    register_views(history, tables.read_categories(spark, map_path), tables.STORED_HISTORY)
+    store.append_history(rows)
+    history = store.history(spark)
+    register_views(history, store.categories(spark), tables.STORED_HISTORY)
     return history

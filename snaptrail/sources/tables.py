@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -34,19 +36,8 @@ def append_snapshot_to_table(rows: DataFrame, table: str) -> None:
 
     The catalog keeps the schema, so readers of any number of files open no footers to find it.
     """
-    spark = rows.sparkSession
-    create_history_table(spark, table)
-    stamped = _stamped(rows)
-    stored = spark.table(table).columns
-    added = [f"`{f.name}` {f.dataType.simpleString()}" for f in stamped.schema if f.name not in stored]
-    if added:
-        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(added)})")
-    stored_types = spark.table(table).schema
-    aligned = [
-        F.col(f.name).cast(f.dataType) if f.name in stamped.columns else F.lit(None).cast(f.dataType).alias(f.name)
-        for f in stored_types
-    ]
-    stamped.select(*aligned).write.insertInto(table)
+    create_history_table(rows.sparkSession, table)
+    _append_to_table(_stamped(rows), table)
 
 
 def create_history_table(spark: SparkSession, table: str) -> None:
@@ -57,20 +48,85 @@ def create_history_table(spark: SparkSession, table: str) -> None:
     )
 
 
+def create_category_table(spark: SparkSession, table: str) -> None:
+    """Create an empty category-map table in the catalog unless it is there."""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({CATEGORY_MAP_SCHEMA}) USING parquet")
+
+
 def append_categories(updates: DataFrame, path: str) -> None:
     """Add category-map rows. The map is only ever appended to; readers take the newest of each."""
     updates.write.mode("append").parquet(path)
 
 
 def read_categories(spark: SparkSession, path: str) -> DataFrame:
-    """The category map: for each setting and label set, the row classified last."""
+    """The category map stored at ``path``; empty if none is stored."""
+    return newest_entries(_read(spark, path, CATEGORY_MAP_SCHEMA, CATEGORY_MAP_SCHEMA))
+
+
+def newest_entries(stored: DataFrame) -> DataFrame:
+    """For each setting and label set, the category-map row classified last."""
     newest = Window.partitionBy("setting_name", "labels_version").orderBy(
         F.desc_nulls_last("classified_at"), F.asc_nulls_last("category")
     )
-    stored = _read(spark, path, CATEGORY_MAP_SCHEMA, CATEGORY_MAP_SCHEMA)
     return stored.withColumn("_rank", F.row_number().over(newest)).where("_rank = 1").drop("_rank")
 
 
+@dataclass(frozen=True)
+class PathStore:
+    """History and category map as two folders of Parquet files."""
+
+    history_path: str
+    map_path: str
+
+    def append_history(self, rows: DataFrame) -> None:
+        append_snapshot(rows, self.history_path)
+
+    def history(self, spark: SparkSession) -> DataFrame:
+        return read_history(spark, self.history_path)
+
+    def append_categories(self, updates: DataFrame) -> None:
+        append_categories(updates, self.map_path)
+
+    def categories(self, spark: SparkSession) -> DataFrame:
+        return read_categories(spark, self.map_path)
+
+
+@dataclass(frozen=True)
+class CatalogStore:
+    """History and category map as two catalog tables, created when first used."""
+
+    history_table: str
+    map_table: str
+
+    def append_history(self, rows: DataFrame) -> None:
+        append_snapshot_to_table(rows, self.history_table)
+
+    def history(self, spark: SparkSession) -> DataFrame:
+        create_history_table(spark, self.history_table)
+        return spark.table(self.history_table)
+
+    def append_categories(self, updates: DataFrame) -> None:
+        create_category_table(updates.sparkSession, self.map_table)
+        _append_to_table(updates, self.map_table)
+
+    def categories(self, spark: SparkSession) -> DataFrame:
+        create_category_table(spark, self.map_table)
+        return newest_entries(spark.table(self.map_table))
+
+
+def _append_to_table(rows: DataFrame, table: str) -> None:
+    spark = rows.sparkSession
+    stored = spark.table(table).columns
+    added = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name not in stored]
+    if added:
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(added)})")
+    aligned = [
+        (F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in spark.table(table).schema
+    ]
+    rows.select(*aligned).write.insertInto(table)
+
+
 def _stamped(rows: DataFrame) -> DataFrame:
     """Rows with their run date, in tasks of even size, so that files come out neither tiny nor huge."""
     return rows.withColumn(RUN_DATE, utc_date(rows, "collected_at")).hint("rebalance")

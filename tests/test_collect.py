@@ -32,9 +32,26 @@ def first_label(text, labels):
     return F.get(labels, 0)
 
 
-def run(spark, number, folder, value="true", labels="a, b", classifier=first_label):
+def run(spark, number, store, value="true", labels="a, b", classifier=first_label):
     rows = build_snapshot(account(spark), workspaces(spark, value), F.lit(day(number)), "acct")
-    return collect(rows, f"{folder}/history", f"{folder}/map", classifier, F.lit(day(number)), labels)
+    return collect(rows, store, classifier, F.lit(day(number)), labels)
+
+
+@pytest.fixture
+def paths(tmp_path):
+    return tables.PathStore(f"{tmp_path}/history", f"{tmp_path}/map")
+
+
+@pytest.fixture
+def catalog(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS runs")
+    yield tables.CatalogStore("runs.settings_history", "runs.setting_category_map")
+    spark.sql("DROP DATABASE runs CASCADE")
+
+
+@pytest.fixture(params=["paths", "catalog"])
+def store(request):
+    return request.getfixturevalue(request.param)
 
 
 def test_snapshot_rows(spark):
@@ -77,14 +94,15 @@ def test_dry_run(spark):
     assert [(r.total_rows, r.more_rows) for r in few] == [(3, 0)] * 3
 
 
-def test_runs_one_after_the_other(spark, tmp_path):
-    run(spark, 1, tmp_path)
-    stored = run(spark, 2, tmp_path, value="false")
+def test_runs_one_after_the_other(spark, store):
+    run(spark, 1, store)
+    stored = run(spark, 2, store, value="false")
     assert stored.count() == 8
     assert {r.category for r in stored.collect()} == {"a"}
-    assert spark.read.parquet(f"{tmp_path}/map").count() == 3  # the second run classified nothing
-    run(spark, 3, tmp_path, value="false", labels="b,c")
-    assert spark.read.parquet(f"{tmp_path}/map").count() == 6  # other labels: all anew
+    entries = store.categories(spark).select("classified_at").collect()
+    assert [r.classified_at for r in entries] == [day(1)] * 3  # the second run classified nothing
+    run(spark, 3, store, value="false", labels="b,c")
+    assert store.categories(spark).count() == 6  # other labels: all anew
 
     drift = spark.sql("SELECT detected_at, change_type, count(*) FROM settings_drift GROUP BY ALL").collect()
     assert list(map(tuple, drift)) == [(day(2), "value_changed", 2)]
@@ -98,18 +116,18 @@ def test_runs_one_after_the_other(spark, tmp_path):
     assert alert.first()[0] == 0
 
 
-def test_failing_classifier_leaves_the_run_uncategorized(spark, tmp_path):
+def test_failing_classifier_leaves_the_run_uncategorized(spark, paths):
     def failing(text, labels):
         return F.raise_error(F.lit("no model")).cast("string")
 
-    stored = run(spark, 1, tmp_path, classifier=failing)
+    stored = run(spark, 1, paths, classifier=failing)
     assert [r.category for r in stored.collect()] == [None] * 4
-    stored = run(spark, 2, tmp_path)
+    stored = run(spark, 2, paths)
     assert {(r.collected_at, r.category) for r in stored.collect()} == {(day(1), None), (day(2), "a")}
 
 
-def test_without_labels_nothing_is_classified(spark, tmp_path):
-    stored = run(spark, 1, tmp_path, labels="")
+def test_without_labels_nothing_is_classified(spark, paths):
+    stored = run(spark, 1, paths, labels="")
     assert [r.category for r in stored.collect()] == [None] * 4
 
 
