@@ -43,11 +43,10 @@ def drift(
     ``category_map`` the category is NULL.
     """
     times = history if runs is None else runs
-    rows = with_neighbours(
-        _observations(history, layout), times, layout.run, small_timeline_bytes, broadcast_bytes
-    )
+    rows = _observations(history, layout)
+    placed = with_neighbours(rows, times, layout.run, small_timeline_bytes, broadcast_bytes)
     own_cell = F.when(~F.col("is_first"), F.col(layout.run))
-    sides = rows.withColumn("_current", F.explode(F.array(F.lit(True), F.lit(False)))).withColumn(
+    sides = placed.withColumn("_current", F.explode(F.array(F.lit(True), F.lit(False)))).withColumn(
         "detected_at", F.when(F.col("_current"), own_cell).otherwise(F.col("next_run"))
     )
     cells = (
@@ -55,7 +54,7 @@ def drift(
         .groupBy(*_SERIES, "detected_at")
         .agg(*_both_sides(F.col("_current")))
     )
-    return _changes(cells, category_map, labels_version, broadcast_bytes)
+    return _changes(cells, rows, category_map, labels_version, broadcast_bytes)
 
 
 def latest_drift(
@@ -69,7 +68,8 @@ def latest_drift(
     newest, before = latest_run(history, layout), previous_run(history, layout)
     rows = _observations(rows_since(history, before, 2, layout), layout)
     cells = rows.groupBy(*_SERIES).agg(*_both_sides(F.col(layout.run) == newest))
-    return _changes(cells.withColumn("detected_at", newest), category_map, labels_version, broadcast_bytes)
+    found = cells.withColumn("detected_at", newest)
+    return _changes(found, rows, category_map, labels_version, broadcast_bytes)
 
 
 def _observations(history: DataFrame, layout: Layout) -> DataFrame:
@@ -97,6 +97,7 @@ def _both_sides(is_current: Column) -> list[Column]:
 
 def _changes(
     cells: DataFrame,
+    rows: DataFrame,
     category_map: DataFrame | None,
     labels_version: str | None,
     broadcast_bytes: int,
@@ -113,6 +114,8 @@ def _changes(
             "setting_name",
             broadcast_bytes,
             bound=category_map.select("setting_name", "category"),
+            # A setting has at most two changes per observation; counting these needs one column.
+            keys=rows.select("setting_name"),
         )
     return changed.select(
         values.utc_date(changed, "detected_at").alias("change_date"),

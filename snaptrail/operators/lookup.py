@@ -30,28 +30,38 @@ def lookup(
     on: str,
     broadcast_bytes: int = BROADCAST_BYTES,
     bound: DataFrame | None = None,
+    keys: DataFrame | None = None,
 ) -> DataFrame:
     """Left join ``rows`` to ``side``, which has one row per ``on``.
 
     A side table within ``broadcast_bytes`` is broadcast. A larger one is joined by a shuffle that
     no hot key can unbalance: rows of heavy keys never enter the shuffle, because the side rows of
-    those few keys are broadcast to them instead. ``bound`` may give a table that is at least as
-    large as ``side`` and cheaper to measure.
+    those few keys are broadcast to them instead. Where ``rows`` already comes out of a shuffle,
+    both parts read the same one.
+
+    Cheaper stand-ins may be given: ``bound``, a table at least as large as ``side``, to measure,
+    and ``keys``, a table whose key counts are in proportion to those of ``rows``, to count.
     """
     if size_in_bytes(side if bound is None else bound) <= broadcast_bytes:
         return rows.join(F.broadcast(side), on, "left")
-    heavy = F.broadcast(heavy_keys(rows, on))
+    heavy = F.broadcast(heavy_keys(rows if keys is None else keys, on))
     heavy_side = F.broadcast(side.join(heavy, on, "left_semi"))
-    heavy_rows = rows.join(heavy, on, "left_semi").join(heavy_side, on, "left")
-    other_rows = rows.join(heavy, on, "left_anti").join(side, on, "left")
-    return heavy_rows.unionByName(other_rows)
+    # Without this filter on both parts, only one of them would get it from the optimizer, and
+    # they would no longer share what lies below them.
+    keyed = rows.where(F.col(on).isNotNull())
+    heavy_rows = keyed.join(heavy, on, "left_semi").join(heavy_side, on, "left")
+    other_rows = keyed.join(heavy, on, "left_anti").join(side, on, "left")
+    nothing = {f.name: F.lit(None).cast(f.dataType) for f in side.schema if f.name != on}
+    keyless = rows.where(F.col(on).isNull()).withColumns(nothing)
+    return heavy_rows.unionByName(other_rows).unionByName(keyless)
 
 
 def heavy_keys(rows: DataFrame, key: str) -> DataFrame:
     """The non-NULL keys that hold more than their share of the rows; below HEAVY_SHARE of them."""
-    total = rows.agg(F.count("*")).scalar()
-    counts = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_rows"))
-    return counts.where(F.col("_rows") * HEAVY_SHARE > total).select(key)
+    counts = rows.groupBy(key).agg(F.count("*").alias("_rows"))
+    total = counts.agg(F.sum("_rows")).scalar()
+    is_heavy = F.col(key).isNotNull() & (F.col("_rows") * HEAVY_SHARE > total)
+    return counts.where(is_heavy).select(key)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -159,6 +159,16 @@ def test_any_number_of_runs_and_heavy_runs(spark, monkeypatch):
     assert Counter(map(tuple, big.collect())) == Counter(map(tuple, drift(frame, named).collect()))
 
 
+def test_lookup_of_a_big_map_reads_the_cells_of_one_shuffle(spark, tmp_path):
+    history(spark, random_rows(5)).write.parquet(str(tmp_path / "h"))
+    named = category_map(spark, [("s1", "c", "v", 1)])
+    found = drift(spark.read.parquet(str(tmp_path / "h")), named, broadcast_bytes=0)
+    assert found.collect()
+    executed = found._jdf.queryExecution().executedPlan().toString()
+    final = executed[: executed.rindex("== Initial Plan ==")]
+    assert "ReusedExchange [setting_name" in final
+
+
 def test_runs_may_be_given(spark):
     rows = history(spark, random_rows(3))
     runs = rows.select("collected_at").distinct()
