@@ -128,8 +128,15 @@ def _append_to_table(rows: DataFrame, table: str) -> None:
 
 
 def _stamped(rows: DataFrame) -> DataFrame:
-    """Rows with their run date, in tasks of even size, so that files come out neither tiny nor huge."""
-    return rows.withColumn(RUN_DATE, utc_date(rows, "collected_at")).hint("rebalance")
+    """Rows with their run date, spread so that a date gets few files, and none of them huge.
+
+    A rebalance brings a date's rows together and lets adaptive execution cut them into even
+    tasks. Without it nothing would cut them, so rows are then written from where they are.
+    """
+    stamped = rows.withColumn(RUN_DATE, utc_date(rows, "collected_at"))
+    if rows.sparkSession.conf.get("spark.sql.adaptive.enabled") != "true":
+        return stamped
+    return stamped.hint("rebalance", RUN_DATE)
 
 
 def _read(spark: SparkSession, path: str, schema: str | None, if_empty: str) -> DataFrame:

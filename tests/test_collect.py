@@ -159,6 +159,30 @@ def test_append_with_a_new_column(spark, tmp_path):
     assert narrow.columns == ["collected_at", "setting_name", "collected_on"]
 
 
+def test_a_date_gets_one_small_file_but_a_big_date_is_cut(spark, tmp_path):
+    rows = history(spark, [(run, 1, f"s{i}", "v") for run in (1, 2, 3) for i in range(50)]).repartition(8)
+    tables.append_snapshot(rows, str(tmp_path / "small"))
+    assert len(list((tmp_path / "small").glob("*/*.parquet"))) == 3
+    size = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    try:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1KB")
+        tables.append_snapshot(rows, str(tmp_path / "big"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", size)
+    assert len(list((tmp_path / "big").glob("collected_on=2024-01-02/*.parquet"))) > 1
+    assert tables.read_history(spark, str(tmp_path / "big")).count() == 150
+
+
+def test_append_without_adaptive_execution(spark, tmp_path):
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        rows = history(spark, [(1, 1, f"s{i}", "v") for i in range(40)]).repartition(4)
+        tables.append_snapshot(rows, str(tmp_path / "h"))
+        assert len(list((tmp_path / "h").glob("*/*.parquet"))) == 4
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
 @pytest.fixture
 def table(spark):
     spark.sql("CREATE DATABASE IF NOT EXISTS evolve")

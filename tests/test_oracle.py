@@ -20,12 +20,25 @@ def test_every_query_has_an_oracle():
     assert QUERIES.keys() == ORACLE.keys()
 
 
+# How DuckDB names the types that results have.
+TYPES = {
+    "string": "VARCHAR",
+    "bigint": "BIGINT",
+    "boolean": "BOOLEAN",
+    "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
 @pytest.mark.parametrize("name", QUERIES)
 def test_query_equals_oracle(spark, duck, name):
-    columns, rows = spark_rows(QUERIES[name](spark, SF_DIR))
+    result = QUERIES[name](spark, SF_DIR)
+    columns, rows = spark_rows(result)
     expected_columns, expected = duckdb_rows(duck, ORACLE[name])
     assert columns == expected_columns
     assert rows == expected
+    described = {r[0]: r[1] for r in duck.execute(f"DESCRIBE {ORACLE[name]}").fetchall()}
+    assert described == {column: TYPES[type_] for column, type_ in result.dtypes}
     assert rows, "an empty result would compare nothing"
 
 
