@@ -43,17 +43,23 @@ def classify_new(
     labels: Iterable[str] | str,
     classifier: Classifier,
     classified_at: Column,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Category-map rows for the settings that the map lacks under the current label set.
 
     ``settings`` comes from :func:`distinct_settings`. Settings already in the map for this label
     set are skipped, also when their category is NULL, so a warm map classifies nothing.
+    ``tasks`` spreads a slow classifier: new settings are few bytes, which Spark would otherwise
+    put into few tasks.
     """
     label_list = label_array(labels)
     version = labels_version(label_list)
     known = category_map.where(F.col("labels_version") == version).select("setting_name")
     text = F.concat(F.col("setting_name"), F.lit(": "), F.coalesce(F.col("descr"), F.lit("")))
-    return settings.join(known, "setting_name", "left_anti").select(
+    new = settings.join(known, "setting_name", "left_anti")
+    if tasks is not None:
+        new = new.repartition(tasks, "setting_name")
+    return new.select(
         "setting_name",
         classifier(text, label_list).alias("category"),
         version.alias("labels_version"),

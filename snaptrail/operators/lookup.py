@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Side tables up to this many bytes are sent to every executor.
@@ -66,10 +66,13 @@ def heavy_keys(rows: DataFrame, key: str) -> DataFrame:
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the checkpoint folder and read on from there."""
-    return _with_checkpoint_dir(df).checkpoint()
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_folder(df.sparkSession))
+    return df.checkpoint()
 
 
-def shared_folder(spark) -> str:
+def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, as the session names it in spark.checkpoint.dir.
 
     Only a local session without that setting gets a temporary folder of its own.
@@ -82,10 +85,3 @@ def shared_folder(spark) -> str:
     folder = tempfile.mkdtemp(prefix="snaptrail-")
     spark.sparkContext.setCheckpointDir(folder)
     return folder
-
-
-def _with_checkpoint_dir(df: DataFrame) -> DataFrame:
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df

@@ -39,6 +39,7 @@ def collect(
     classifier: categories.Classifier,
     classified_at: Column,
     labels: Iterable[str] | str = DEFAULT_LABELS,
+    classifier_tasks: int | None = None,
 ) -> DataFrame:
     """Classify the rows of a run, append them to the history and return the whole history.
 
@@ -50,7 +51,7 @@ def collect(
     if labels:
         settings = categories.distinct_settings(rows)
         known = store.categories(spark)
-        new = categories.classify_new(settings, known, labels, classifier, classified_at)
+        new = categories.classify_new(settings, known, labels, classifier, classified_at, classifier_tasks)
         try:
             store.append_categories(new)
         except Exception as error:  # any failure of a user's classifier surfaces here

@@ -62,6 +62,19 @@ def test_only_unknown_settings_are_classified(spark):
     assert other.count() == 4
 
 
+def test_a_slow_classifier_may_be_spread(spark):
+    settings = spark.range(40).selectExpr("concat('s', id) AS setting_name", "'' AS descr")
+
+    def task(text, labels):
+        return F.spark_partition_id().cast("string")
+
+    def used(tasks):
+        new = categories.classify_new(settings, category_map(spark, []), LABELS, task, F.lit(day(1)), tasks)
+        return len({r.category for r in new.collect()})
+
+    assert used(6) == 6 > used(1) == 1
+
+
 def test_upsert(spark):
     old = category_map(spark, [("a", "x", "v1", 1), ("a", "x", "v2", 1), ("b", "x", "v1", 1)])
     new = category_map(spark, [("a", "y", "v1", 2), ("c", "y", "v1", 2)])
