@@ -1,8 +1,11 @@
-"""One string value out of a typed JSON payload, with Spark's variant functions."""
+"""One string value out of a typed JSON payload, with Spark's variant functions.
+
+The expressions are SQL text, so that Spark parses each in one step.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snaptrail.functions.values import NOT_SET, NULL_VALUE, UNAVAILABLE
@@ -12,48 +15,46 @@ EFFECTIVE_FIELDS = ("effective_boolean_val", "effective_string_val", "effective_
 DIRECT_FIELDS = ("boolean_val", "string_val", "integer_val", "value")
 EFFECTIVE_PREFIX = "effective_"
 
-_FIELD_MAP = "map<string,variant>"
 
 
-def _text(node: Column) -> Column:
-    """Text of a variant: booleans as True/False, objects and arrays as JSON, JSON null as NULL."""
-    text = F.try_variant_get(node, "$", "string")
-    return F.when(F.schema_of_variant(node) == "BOOLEAN", F.initcap(text)).otherwise(text)
+def _get(node: str, path: str, type_: str) -> str:
+    return f"try_variant_get({node}, '{path}', '{type_}')"
+
 
+def _members(node: str) -> str:
+    """The fields of an object; NULL for anything that is no object."""
+    return _get(node, "$", "map<string,variant>")
 
-def _set_fields(message: Column) -> Column:
-    """The non-null fields of an object as a map; NULL for anything that is no object."""
-    fields = F.try_variant_get(message, "$", _FIELD_MAP)
-    return F.map_filter(fields, lambda _, field: ~F.is_variant_null(field))
+
+def _text(node: str) -> str:
+    """Text of a variant: booleans as True/False, objects and arrays as JSON, JSON null as NULL."""
+    text = _get(node, "$", "string")
+    is_boolean = f"{text} IN ('true', 'false') AND schema_of_variant({node}) = 'BOOLEAN'"
+    return f"if({is_boolean}, initcap({text}), {text})"
 
 
-def _message_text(message: Column) -> Column:
+def _message_text(message: str) -> str:
     """A message with one set field is that field's text; with several, the fields as JSON."""
-    fields = _set_fields(message)
-    return (
-        F.when(F.size(fields) == 1, _text(F.get(F.map_values(fields), 0)))
-        .when(F.size(fields) > 1, F.to_json(fields))
-    )
+    fields = f"map_filter({_members(message)}, (_, field) -> NOT is_variant_null(field))"
+    only_field = f"get(map_values({fields}), 0)"
+    return f"CASE size({fields}) WHEN 0 THEN NULL WHEN 1 THEN {_text(only_field)} ELSE to_json({fields}) END"
 
 
-def _other_message(doc: Column) -> Column:
+def _first_message(doc: str) -> str:
     """The first effective message, by name, that has a set field."""
-    fields = F.try_variant_get(doc, "$", _FIELD_MAP)
-    names = F.filter(F.map_keys(fields), lambda key: key.startswith(EFFECTIVE_PREFIX))
-    texts = F.transform(F.sort_array(names), lambda name: _message_text(F.element_at(fields, name)))
-    return F.get(F.filter(texts, lambda text: text.isNotNull()), 0)
+    fields = _members(doc)
+    names = f"filter(map_keys({fields}), name -> startswith(name, '{EFFECTIVE_PREFIX}'))"
+    texts = f"transform(sort_array({names}), name -> {_message_text(f'element_at({fields}, name)')})"
+    return f"get(filter({texts}, text -> text IS NOT NULL), 0)"
 
 
-def _direct_text(doc: Column, name: str) -> Column:
+def _direct_text(doc: str, name: str) -> str:
     """A direct field is a plain value, or an object that wraps one in ``value``."""
-    field = F.try_variant_get(doc, f"$.{name}", "variant")
-    wrapped = F.try_variant_get(doc, f"$.{name}.value", "variant")
-    members = F.try_variant_get(field, "$", _FIELD_MAP)
-    is_unset = (F.size(members) == 0) | F.map_contains_key(members, "value")
-    return F.coalesce(
-        _text(wrapped),
-        F.when(field.isNotNull() & ~F.coalesce(is_unset, F.lit(False)), _text(field)),
-    )
+    field = _get(doc, f"$.{name}", "variant")
+    wrapped = _get(doc, f"$.{name}.value", "variant")
+    is_unset = f"size({_members(field)}) = 0 OR map_contains_key({_members(field)}, 'value')"
+    whole = f"if(coalesce({is_unset}, false), NULL, {_text(field)})"
+    return f"if({field} IS NULL, NULL, coalesce({_text(wrapped)}, {whole}))"
 
 
 def with_payload_value(
@@ -68,24 +69,23 @@ def with_payload_value(
     fields. A payload with only a name is "not set", NULL is "null", and a failed read or broken
     JSON is "unavailable". Each payload is parsed once.
     """
-    text, doc, typed, message = F.col(payload), F.col("_doc"), F.col("_typed"), F.col("_message")
-    effective = [_text(F.try_variant_get(doc, f"$.{name}.value", "variant")) for name in EFFECTIVE_FIELDS]
+    effective = [_text(_get("_doc", f"$.{name}.value", "variant")) for name in EFFECTIVE_FIELDS]
+    direct = [_direct_text("_doc", name) for name in DIRECT_FIELDS]
+    not_set = f"if({_get('_doc', '$.name', 'variant')} IS NOT NULL, '{NOT_SET}', NULL)"
+    value = f"""
+        CASE WHEN coalesce(`{read_failed}`, false) THEN '{UNAVAILABLE}'
+             WHEN `{payload}` IS NULL THEN '{NULL_VALUE}'
+             WHEN _doc IS NULL THEN '{UNAVAILABLE}'
+             WHEN is_variant_null(_doc) THEN '{NULL_VALUE}'
+             ELSE coalesce(_typed, _message, {", ".join(direct)}, {not_set}, {_text("_doc")}) END"""
     # A backslash may hide the prefix in an escaped name.
-    may_have_message = text.contains(EFFECTIVE_PREFIX) | text.contains("\\")
-    direct = [_direct_text(doc, name) for name in DIRECT_FIELDS]
-    not_set = F.when(F.try_variant_get(doc, "$.name", "variant").isNotNull(), NOT_SET)
-    value = (
-        F.when(F.coalesce(F.col(read_failed), F.lit(False)), UNAVAILABLE)
-        .when(text.isNull(), NULL_VALUE)
-        .when(doc.isNull(), UNAVAILABLE)
-        .when(F.is_variant_null(doc), NULL_VALUE)
-        .otherwise(F.coalesce(typed, message, *direct, not_set, _text(doc)))
-    )
+    may_have_message = rf"contains(`{payload}`, '{EFFECTIVE_PREFIX}') OR contains(`{payload}`, r'\')"
+    message = f"if(_typed IS NULL AND ({may_have_message}), {_first_message('_doc')}, NULL)"
     # One column per step, so that each payload is parsed once and only opened as far as needed.
     return (
-        payloads.withColumn("_doc", F.try_parse_json(text))
-        .withColumn("_typed", F.coalesce(*effective))
-        .withColumn("_message", F.when(typed.isNull() & may_have_message, _other_message(doc)))
-        .withColumn(output, value)
+        payloads.withColumn("_doc", F.expr(f"try_parse_json(`{payload}`)"))
+        .withColumn("_typed", F.expr(f"coalesce({', '.join(effective)})"))
+        .withColumn("_message", F.expr(message))
+        .withColumn(output, F.expr(value))
         .drop("_doc", "_typed", "_message")
     )
