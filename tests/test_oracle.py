@@ -9,7 +9,7 @@ from tests.compare import connect, duckdb_rows, spark_rows
 from tests.plans import final_plan
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLE = entry._snapshot_queries(), entry.oracle.statements()
 
 
 @pytest.fixture(scope="module")
