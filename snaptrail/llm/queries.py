@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from snaptrail.llm.common import UPPER, table
 from snaptrail.llm.exact_dedup import exact_groups
+from snaptrail.llm.mixing import mix
+from snaptrail.llm.url_filter import filter_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +17,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 def queries() -> dict[str, Query]:
     return {
         "op1_exact_dedup": _exact_dedup,
+        "op8_url_filter": _url_filter,
+        "op9_mix_sources": _mix_sources,
     }
 
 
@@ -33,3 +37,20 @@ WINDOW same AS (PARTITION BY lowered)"""
 
 def _exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
+
+
+URL_RULES = (
+    ("net/", "block"),
+    ("example.net/en/", "allow"),
+    ("example.com/de/", "block"),
+    ("org/fr/", "allow"),
+)
+
+
+def _url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def _mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
