@@ -1,6 +1,6 @@
 """Language identification by nearest centroid.
 
-A text is a TF-IDF vector of hashed byte n-grams, scaled to length 1. Each language has several
+A text, its letters and spaces only, is a TF-IDF vector of hashed byte n-grams, scaled to length 1. Each language has several
 centroids, found by clustering its training vectors. The centroid with the largest cosine names the
 language. Texts far from all centroids are rejected.
 """
@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from snaptrail.llm.common import documents
-from snaptrail.llm.ngrams import ngram_buckets, texts
+from snaptrail.llm.ngrams import letters, ngram_buckets, texts
 
 SIZES = (1, 2, 3)
 BITS = 12
@@ -29,7 +29,7 @@ MAX_LANGUAGES = 200
 CENTROIDS = 4
 
 # A text is rejected when its cosine is below this share of the smallest one of a training document.
-REJECT_SHARE = 0.5
+REJECT_SHARE = 0.2
 
 UNDETERMINED = "und"
 
@@ -48,7 +48,7 @@ class LanguageModel:
 
 
 def ngram_counts(text: np.ndarray) -> np.ndarray:
-    return np.bincount(ngram_buckets(text, SIZES, BITS), minlength=1 << BITS).astype(np.float32)
+    return np.bincount(ngram_buckets(letters(text), SIZES, BITS), minlength=1 << BITS).astype(np.float32)
 
 
 def tf_idf(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
@@ -101,7 +101,7 @@ def fit(docs: DataFrame, lang_col: str = "lang", per_language: int = TRAINING_PE
     langs = np.array(table["lang"].to_pylist())
     idf = (np.log((1 + len(counts)) / (1 + (counts > 0).sum(axis=0))) + 1).astype(np.float32)
     vectors = tf_idf(counts, idf)
-    languages, centroids, owner = sorted(set(langs)), [], []
+    languages, centroids, owner = sorted(set(langs.tolist())), [], []
     for place, lang in enumerate(languages):
         found = clusters(vectors[langs == lang], CENTROIDS)
         centroids.append(found)
@@ -126,8 +126,8 @@ def predict(
     def predicted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             langs, scores = [], []
-            for text, letters in zip(texts(batch["text"]), batch["letters"].to_pylist()):
-                if not letters or model is None:
+            for text, has_letter in zip(texts(batch["text"]), batch["has_letter"].to_pylist()):
+                if not has_letter or model is None:
                     langs.append(UNDETERMINED)
                     scores.append(0.0)
                     continue
@@ -140,7 +140,7 @@ def predict(
                 ["doc_id", "lang_pred", "score"],
             )
 
-    rows = documents(docs, id_col, text_col).withColumn("letters", F.col("text").rlike(r"\p{L}"))
+    rows = documents(docs, id_col, text_col).withColumn("has_letter", F.col("text").rlike(r"\p{L}"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
     result = rows.mapInArrow(predicted, f"doc_id {id_type}, lang_pred string, score double")
     reject_below = model.reject_below if model else 0.0

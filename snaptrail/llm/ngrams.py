@@ -44,14 +44,12 @@ def ngram_buckets(text: np.ndarray, sizes: Sequence[int], bits: int) -> np.ndarr
     return np.concatenate(found) if found else np.zeros(0, np.int64)
 
 
-class Distinct:
-    """The distinct buckets of a text, found with a bit map that is used again for the next text."""
+def letters(text: np.ndarray) -> np.ndarray:
+    """The text with each run of ASCII bytes that are no letters as one space."""
+    plain = _LETTERS[text]
+    blank = plain == 32
+    return plain[~(blank & np.concatenate([[False], blank[:-1]]))]
 
-    def __init__(self, bits: int):
-        self._seen = np.zeros(1 << bits, dtype=bool)
 
-    def __call__(self, buckets: np.ndarray) -> np.ndarray:
-        self._seen[buckets] = True
-        distinct = np.flatnonzero(self._seen)
-        self._seen[distinct] = False
-        return distinct
+_LETTERS = LOWER.copy()
+_LETTERS[[b for b in range(128) if not chr(b).isalpha()]] = 32

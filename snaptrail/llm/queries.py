@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from snaptrail.llm.common import UPPER, table
+from snaptrail.llm import language_id, toxicity
+from snaptrail.llm.common import UPPER, held_out, table
 from snaptrail.llm.exact_dedup import exact_groups
 from snaptrail.llm.mixing import mix
 from snaptrail.llm.url_filter import filter_urls
@@ -17,8 +19,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 def queries() -> dict[str, Query]:
     return {
         "op1_exact_dedup": _exact_dedup,
+        "op4_toxicity": _toxicity,
         "op8_url_filter": _url_filter,
         "op9_mix_sources": _mix_sources,
+        "op10_language_id": _language_id,
     }
 
 
@@ -54,3 +58,17 @@ def _url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def _toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.fit(documents, labels.where(~held_out(F.col("doc_id"))))
+    scores = toxicity.score(documents, model)
+    return scores.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+def _language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = language_id.fit(documents.where(~held_out(F.col("doc_id"))))
+    found = language_id.predict(documents, model)
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected")

@@ -1,7 +1,7 @@
 """Toxicity: a linear classifier on character n-grams, scaled by naive Bayes log-count ratios.
 
-A text is the set of its hashed n-grams. Each feature is worth its naive Bayes log-count ratio, the
-vector is scaled to length 1, and a logistic regression is fitted on top.
+A text counts its hashed n-grams. The logarithm of a count times the feature's naive Bayes log-count ratio
+is its value, the vector is scaled to length 1, and a logistic regression is fitted on top.
 """
 
 from __future__ import annotations
@@ -15,13 +15,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from snaptrail.llm.common import documents
-from snaptrail.llm.ngrams import Distinct, ngram_buckets, texts
+from snaptrail.llm.ngrams import ngram_buckets, texts
 
-SIZES = (3, 5)
-BITS = 17
+SIZES = (5, 7)
+BITS = 18
+
+# Features of fewer training documents are worth nothing.
+MIN_DOCUMENTS = 3
 
 # Labelled documents of each class that the classifier is fitted on, those with the smallest hashes.
-# Their features are all that reaches the driver: 2 * LABELLED_PER_CLASS rows of at most 2**BITS buckets.
+# Their features are all that reaches the driver: 2 * LABELLED_PER_CLASS rows of at most 2**BITS features.
 LABELLED_PER_CLASS = 2_500
 
 
@@ -31,15 +34,23 @@ class ToxicityModel:
     weight: np.ndarray
     bias: float
 
-    def score(self, buckets: np.ndarray) -> float:
-        values = self.ratio[buckets]
+    def score(self, text: np.ndarray) -> float:
+        buckets, logs = ngram_logs(text)
+        values = self.ratio[buckets] * logs
         length = float(np.sqrt(values @ values))
         logit = (float(values @ self.weight[buckets]) / length if length else 0.0) + self.bias
         return float(1 / (1 + np.exp(-np.clip(logit, -30, 30))))
 
 
+def ngram_logs(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct buckets of a text, and log(1 + count) of each."""
+    counts = np.bincount(ngram_buckets(text, SIZES, BITS))
+    buckets = np.flatnonzero(counts)
+    return buckets, np.log1p(counts[buckets])
+
+
 def sample_features(docs: DataFrame, labels: DataFrame, per_class: int = LABELLED_PER_CLASS) -> DataFrame:
-    """doc_id, toxic and the distinct buckets of up to ``per_class`` labelled documents of each class.
+    """doc_id, toxic and the features of up to ``per_class`` labelled documents of each class.
 
     ``labels`` has doc_id and toxic (0 or 1; other values and nulls are left out; of repeated ids the
     largest counts). Of documents that repeat an id, the text with the smallest hash is taken.
@@ -53,15 +64,15 @@ def sample_features(docs: DataFrame, labels: DataFrame, per_class: int = LABELLE
     labelled = labelled.groupBy("doc_id", "toxic").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
 
     def featurized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        distinct = Distinct(BITS)
         for batch in batches:
-            buckets = [distinct(ngram_buckets(text, SIZES, BITS)).astype(np.int32) for text in texts(batch["text"])]
+            found = [ngram_logs(text) for text in texts(batch["text"])]
+            buckets = pa.array([buckets.astype(np.int32) for buckets, _ in found], pa.list_(pa.int32()))
+            logs = pa.array([logs.astype(np.float32) for _, logs in found], pa.list_(pa.float32()))
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], batch["toxic"], pa.array(buckets, pa.list_(pa.int32()))],
-                ["doc_id", "toxic", "buckets"],
+                [batch["doc_id"], batch["toxic"], buckets, logs], ["doc_id", "toxic", "buckets", "logs"]
             )
 
-    return labelled.mapInArrow(featurized, "doc_id long, toxic int, buckets array<int>")
+    return labelled.mapInArrow(featurized, "doc_id long, toxic int, buckets array<int>, logs array<float>")
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = LABELLED_PER_CLASS) -> ToxicityModel | None:
@@ -74,29 +85,38 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = LABELLED_PER_CLASS)
     lists = table["buckets"].combine_chunks()
     buckets = lists.flatten().to_numpy()
     rows = np.repeat(np.arange(len(toxic)), lists.value_lengths().to_numpy())
-    counts = [1.0 + np.bincount(buckets[toxic[rows] == side], minlength=1 << BITS) for side in (True, False)]
+    logs = table["logs"].combine_chunks().flatten().to_numpy().astype(float)
+    counts = [
+        1 + np.bincount(buckets, logs * (toxic[rows] == side), minlength=1 << BITS) for side in (True, False)
+    ]
     ratio = np.log(counts[0] / counts[0].sum()) - np.log(counts[1] / counts[1].sum())
-    values = ratio[buckets]
+    ratio[np.bincount(buckets, minlength=1 << BITS) < MIN_DOCUMENTS] = 0
+    values = ratio[buckets] * logs
     lengths = np.sqrt(np.bincount(rows, values**2, minlength=len(toxic)))
     values /= np.maximum(lengths, 1e-12)[rows]
+    worth = np.flatnonzero(values)
+    rows, buckets, values = rows[worth], buckets[worth], values[worth]
     weight, bias = _logistic(rows, buckets, values, toxic.astype(float))
     return ToxicityModel(ratio, weight, bias)
 
 
 def _logistic(
-    rows: np.ndarray, buckets: np.ndarray, values: np.ndarray, labels: np.ndarray, steps: int = 100
+    rows: np.ndarray, buckets: np.ndarray, values: np.ndarray, labels: np.ndarray, steps: int = 100, rate: float = 10.0
 ) -> tuple[np.ndarray, float]:
-    """Logistic regression by full-batch gradient steps, scaled for each feature by its past gradients."""
-    weight, bias, seen, bias_seen = np.zeros(1 << BITS), 0.0, np.full(1 << BITS, 1e-8), 1e-8
+    """Logistic regression by gradient steps with momentum; both classes weigh the same.
+
+    A fixed number of plain steps favours features that many documents share, which rare ones need not.
+    """
+    weight, bias, speed, bias_speed = np.zeros(1 << BITS), 0.0, np.zeros(1 << BITS), 0.0
+    importance = np.where(labels == 1, 0.5 / labels.sum(), 0.5 / (1 - labels).sum())
     for _ in range(steps):
         logits = np.bincount(rows, values * weight[buckets], minlength=len(labels)) + bias
-        error = (1 / (1 + np.exp(-np.clip(logits, -30, 30))) - labels) / len(labels)
-        slope = np.bincount(buckets, values * error[rows], minlength=1 << BITS) + 1e-6 * weight
-        seen += slope**2
-        weight -= slope / np.sqrt(seen)
-        bias_seen += error.sum() ** 2
-        bias -= error.sum() / np.sqrt(bias_seen)
-    return weight, float(bias)
+        error = (1 / (1 + np.exp(-np.clip(logits, -30, 30))) - labels) * importance
+        speed = 0.9 * speed + np.bincount(buckets, values * error[rows], minlength=1 << BITS)
+        bias_speed = 0.9 * bias_speed + error.sum()
+        weight -= rate * speed
+        bias -= 0.1 * rate * bias_speed
+    return weight, bias
 
 
 def score(docs: DataFrame, model: ToxicityModel | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -108,12 +128,8 @@ def score(docs: DataFrame, model: ToxicityModel | None, id_col: str = "doc_id",
     """
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        distinct = Distinct(BITS)
         for batch in batches:
-            scores = [
-                model.score(distinct(ngram_buckets(text, SIZES, BITS))) if model else 0.0
-                for text in texts(batch["text"])
-            ]
+            scores = [model.score(text) if model else 0.0 for text in texts(batch["text"])]
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(scores, pa.float64())], ["doc_id", "score"])
 
     rows = documents(docs, id_col, text_col)
