@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snaptrail.llm import language_id, toxicity
-from snaptrail.llm.common import UPPER, held_out, table
+from snaptrail.llm import language_id, token_files, toxicity
+from snaptrail.llm.common import UPPER, held_out, shared_folder, table
 from snaptrail.llm.exact_dedup import exact_groups
 from snaptrail.llm.mixing import mix
 from snaptrail.llm.url_filter import filter_urls
@@ -19,6 +21,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 def queries() -> dict[str, Query]:
     return {
         "op1_exact_dedup": _exact_dedup,
+        "op3_token_files": _token_files,
         "op4_toxicity": _toxicity,
         "op8_url_filter": _url_filter,
         "op9_mix_sources": _mix_sources,
@@ -72,3 +75,12 @@ def _language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = language_id.fit(documents.where(~held_out(F.col("doc_id"))))
     found = language_id.predict(documents, model)
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+TOKENIZER = "byte_bpe_50k.json"
+
+
+def _token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{shared_folder(spark)}/tokens-{uuid.uuid4()}"
+    token_files.write(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), path)
+    return token_files.checksums(spark, path)
