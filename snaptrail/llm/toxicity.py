@@ -25,7 +25,7 @@ MIN_DOCUMENTS = 3
 
 # Labelled documents of each class that the classifier is fitted on, those with the smallest hashes.
 # Their features are all that reaches the driver: 2 * LABELLED_PER_CLASS rows of at most 2**BITS features.
-LABELLED_PER_CLASS = 2_500
+LABELLED_PER_CLASS = 1_000
 
 
 @dataclass
@@ -84,18 +84,17 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = LABELLED_PER_CLASS)
         return None
     lists = table["buckets"].combine_chunks()
     buckets = lists.flatten().to_numpy()
-    rows = np.repeat(np.arange(len(toxic)), lists.value_lengths().to_numpy())
-    logs = table["logs"].combine_chunks().flatten().to_numpy().astype(float)
+    rows = np.repeat(np.arange(len(toxic), dtype=np.int32), lists.value_lengths().to_numpy())
+    logs = table["logs"].combine_chunks().flatten().to_numpy()
     counts = [
         1 + np.bincount(buckets, logs * (toxic[rows] == side), minlength=1 << BITS) for side in (True, False)
     ]
     ratio = np.log(counts[0] / counts[0].sum()) - np.log(counts[1] / counts[1].sum())
     ratio[np.bincount(buckets, minlength=1 << BITS) < MIN_DOCUMENTS] = 0
-    values = ratio[buckets] * logs
+    values = ratio.astype(np.float32)[buckets] * logs
+    del table, lists, logs
     lengths = np.sqrt(np.bincount(rows, values**2, minlength=len(toxic)))
-    values /= np.maximum(lengths, 1e-12)[rows]
-    worth = np.flatnonzero(values)
-    rows, buckets, values = rows[worth], buckets[worth], values[worth]
+    values /= np.maximum(lengths, 1e-12).astype(np.float32)[rows]
     weight, bias = _logistic(rows, buckets, values, toxic.astype(float))
     return ToxicityModel(ratio, weight, bias)
 
@@ -110,9 +109,9 @@ def _logistic(
     weight, bias, speed, bias_speed = np.zeros(1 << BITS), 0.0, np.zeros(1 << BITS), 0.0
     importance = np.where(labels == 1, 0.5 / labels.sum(), 0.5 / (1 - labels).sum())
     for _ in range(steps):
-        logits = np.bincount(rows, values * weight[buckets], minlength=len(labels)) + bias
+        logits = np.bincount(rows, values * weight.astype(np.float32)[buckets], minlength=len(labels)) + bias
         error = (1 / (1 + np.exp(-np.clip(logits, -30, 30))) - labels) * importance
-        speed = 0.9 * speed + np.bincount(buckets, values * error[rows], minlength=1 << BITS)
+        speed = 0.9 * speed + np.bincount(buckets, values * error.astype(np.float32)[rows], minlength=1 << BITS)
         bias_speed = 0.9 * bias_speed + error.sum()
         weight -= rate * speed
         bias -= 0.1 * rate * bias_speed
