@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from snaptrail.llm import language_id, token_files, toxicity
 from snaptrail.llm.common import UPPER, held_out, shared_folder, table
+from snaptrail.llm.decontamination import contamination
 from snaptrail.llm.exact_dedup import exact_groups
 from snaptrail.llm.mixing import mix
 from snaptrail.llm.url_filter import filter_urls
@@ -23,6 +24,7 @@ def queries() -> dict[str, Query]:
         "op1_exact_dedup": _exact_dedup,
         "op3_token_files": _token_files,
         "op4_toxicity": _toxicity,
+        "op5_decontamination": _decontamination,
         "op8_url_filter": _url_filter,
         "op9_mix_sources": _mix_sources,
         "op10_language_id": _language_id,
@@ -84,3 +86,9 @@ def _token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_folder(spark)}/tokens-{uuid.uuid4()}"
     token_files.write(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), path)
     return token_files.checksums(spark, path)
+
+
+def _decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    items = F.sha2(F.array_join("item_ids", ",").cast("binary"), 256)
+    return found.select("doc_id", "n_words", "n_hit", "n_items", items.alias("items_sha256"), "contaminated")
