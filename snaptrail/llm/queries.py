@@ -14,6 +14,7 @@ from snaptrail.llm.common import UPPER, held_out, shared_folder, table
 from snaptrail.llm.decontamination import contamination
 from snaptrail.llm.exact_dedup import exact_groups
 from snaptrail.llm.mixing import mix
+from snaptrail.llm.near_dedup import near_groups
 from snaptrail.llm.url_filter import filter_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +26,7 @@ def queries() -> dict[str, Query]:
         "op3_token_files": _token_files,
         "op4_toxicity": _toxicity,
         "op5_decontamination": _decontamination,
+        "op7_near_dedup": _near_dedup,
         "op8_url_filter": _url_filter,
         "op9_mix_sources": _mix_sources,
         "op10_language_id": _language_id,
@@ -92,3 +94,7 @@ def _decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     items = F.sha2(F.array_join("item_ids", ",").cast("binary"), 256)
     return found.select("doc_id", "n_words", "n_hit", "n_items", items.alias("items_sha256"), "contaminated")
+
+
+def _near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_groups(table(spark, sf_dir, "documents"), percent=85)
