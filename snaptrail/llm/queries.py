@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snaptrail.llm import language_id, token_files, toxicity
@@ -15,6 +15,8 @@ from snaptrail.llm.decontamination import contamination
 from snaptrail.llm.exact_dedup import exact_groups
 from snaptrail.llm.mixing import mix
 from snaptrail.llm.near_dedup import near_groups
+from snaptrail.llm.preferences import format_pairs, swapped_replies
+from snaptrail.llm.repeats import remove_repeats
 from snaptrail.llm.url_filter import filter_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,9 +25,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 def queries() -> dict[str, Query]:
     return {
         "op1_exact_dedup": _exact_dedup,
+        "op2_preferences": _preferences,
         "op3_token_files": _token_files,
         "op4_toxicity": _toxicity,
         "op5_decontamination": _decontamination,
+        "op6_repeats": _repeats,
         "op7_near_dedup": _near_dedup,
         "op8_url_filter": _url_filter,
         "op9_mix_sources": _mix_sources,
@@ -34,7 +38,7 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": EXACT_DEDUP}
+    return {"op1_exact_dedup": EXACT_DEDUP, "op2_preferences": PREFERENCES}
 
 
 LOWER = f"translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}')"
@@ -45,6 +49,25 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM (SELECT doc_id, {LOWER} AS lowered FROM documents)
 WINDOW same AS (PARTITION BY lowered)"""
 
+# Each conversation up to its last reply, against the same with the last reply of its neighbour.
+PREFERENCES = """
+WITH turns AS (SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+    FROM conversations WHERE conv_id IS NOT NULL),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS n FROM turns),
+replies AS (SELECT conv_id, max(n) AS last, max_by(text, n) AS text FROM numbered WHERE role = 'assistant' GROUP BY conv_id),
+pairs AS (SELECT r.conv_id, r.last, r.text AS good, other.text AS bad
+    FROM replies r LEFT JOIN replies other ON other.conv_id = xor(r.conv_id, 1)),
+sides AS (SELECT *, good = bad IS NOT DISTINCT FROM true AS same FROM pairs),
+prompts AS (SELECT s.conv_id, coalesce(string_agg('<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10), '' ORDER BY n)
+      FILTER (WHERE n < last OR same), '') AS prompt
+    FROM sides s JOIN numbered USING (conv_id) WHERE n <= last GROUP BY s.conv_id)
+SELECT conv_id AS pair_id, if(same, last, last - 1) AS n_prompt_turns, prompt,
+  if(same, '', '<|assistant|>' || chr(10) || good || '<|end|>' || chr(10)) AS chosen,
+  if(same, '', '14:' || (14 + length(good) + 7)) AS chosen_mask,
+  if(same OR bad IS NULL, '', '<|assistant|>' || chr(10) || bad || '<|end|>' || chr(10)) AS rejected,
+  if(same OR bad IS NULL, '', '14:' || (14 + length(bad) + 7)) AS rejected_mask
+FROM sides JOIN prompts USING (conv_id)"""
+
 
 def _exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
@@ -98,3 +121,27 @@ def _decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(table(spark, sf_dir, "documents"), percent=85)
+
+
+def _preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = format_pairs(swapped_replies(table(spark, sf_dir, "conversations")))
+    return pairs.select(
+        "pair_id",
+        F.col("n_prompt_turns").cast("long").alias("n_prompt_turns"),
+        "prompt",
+        "chosen",
+        _spans("chosen_mask"),
+        "rejected",
+        _spans("rejected_mask"),
+    )
+
+
+def _spans(mask: str) -> Column:
+    """Spans as text, such as ``14:31,60:75``."""
+    return F.array_join(F.transform(mask, lambda s: F.concat_ws(":", s["start"], s["end"])), ",").alias(mask)
+
+
+def _repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = remove_repeats(table(spark, sf_dir, "documents"))
+    spans = F.size("spans").cast("long").alias("n_spans")
+    return cleaned.select("doc_id", "n_bytes", "n_removed", spans, F.sha2("kept", 256).alias("kept_sha256"))
