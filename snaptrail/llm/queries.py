@@ -9,6 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from snaptrail.llm import language_id, token_files, toxicity
 from snaptrail.llm.common import UPPER, held_out, shared_folder, table
 from snaptrail.llm.decontamination import contamination
@@ -34,6 +35,7 @@ def queries() -> dict[str, Query]:
         "op8_url_filter": _url_filter,
         "op9_mix_sources": _mix_sources,
         "op10_language_id": _language_id,
+        "pipeline": corpus_pipeline.run,
     }
 
 
