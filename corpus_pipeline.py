@@ -47,7 +47,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A document that the front of its shard's last round ends in is in or out as a whole.
     """
-    times = mix(docs).select("doc_id", F.expr("CAST(floor((2 * taken + size) / (2 * size)) AS INT)").alias("times"))
+    times = mix(docs).select("doc_id", F.expr("CAST((2 * taken + size) div (2 * greatest(size, 1)) AS INT)").alias("times"))
     times = times.where("times > 0").groupBy("doc_id").agg(F.max("times").alias("times"))
     repeats = F.explode(F.sequence(F.lit(1), F.col("times"))).alias("_repeat")
     return _kept(docs, times, "times").select(*COLUMNS, repeats).select(*COLUMNS)

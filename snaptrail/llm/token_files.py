@@ -8,8 +8,11 @@ without any token.
 
 from __future__ import annotations
 
+import os
+import re
 import zlib
 from collections.abc import Iterator
+from functools import cache
 from itertools import chain, count
 
 import numpy as np
@@ -40,57 +43,93 @@ WRITER = {
 # Pieces of text whose ids a task remembers. When it is full, it starts again.
 REMEMBERED = 400_000
 
-# Not white space to the tokenizer's splitting in every version, so no piece starts at them.
-_DOUBTFUL = ("\u180e", "\u200b", "\u2060", "\ufeff")
+# White space, and characters that not every version of Unicode calls so: no piece starts with them.
+_BLANK = "[\\s\u180e\u200b\u2060\ufeff]"
+_ODD_SPACE = re.compile(f" (?:{_BLANK}|\\Z)")
+_ODD_START = re.compile(f"{_BLANK}|\\Z")
 
 
 class Encoder:
     """Token ids of whole texts, equal to what the tokenizer gives, with the ids of pieces remembered.
 
     A byte-level tokenizer splits a text into words first, and a space before a word always starts a new
-    one. So a text may be cut before each space that a visible character follows, and the pieces, most of
+    one. So a text may be cut at each space that a visible character follows, and the pieces, most of
     them seen before, be encoded on their own. Texts with a special token of the tokenizer, which is
     searched before words are split, are encoded whole.
     """
 
     def __init__(self, tokenizer_path: str):
+        # Tasks already use all cores.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
         self.special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
+        vocabulary = self.tokenizer.get_vocab()
+        # Each character of a byte-level token stands for a byte.
+        self.bytes_of = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, id_ in vocabulary.items():
+            self.bytes_of[id_] = len(token)
         self._forget()
 
     def _forget(self) -> None:
-        self.place: dict[str, int] = {}
+        self.place = Places()
         self.lengths, self.starts, self.flat = (Growing(kind) for kind in (np.int64, np.int64, np.uint32))
 
     def batch(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.place) > REMEMBERED:
             self._forget()
         whole = [any(token in text for token in self.special) for text in texts]
-        pieces = [[] if as_is else cut(text) for text, as_is in zip(texts, whole)]
-        self._learn(list({piece for some in pieces for piece in some} - self.place.keys()))
-        return [
-            np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
-            if as_is
-            else self._joined(some)
-            for text, as_is, some in zip(texts, whole, pieces)
-        ]
-
-    def _learn(self, pieces: list[str]) -> None:
-        if pieces:
-            ids = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-            lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+        # Of a text that is encoded whole, all of it is its first piece.
+        pieces = [[text] if as_is else cut(text) for text, as_is in zip(texts, whole)]
+        firsts = [ids.ids for ids in self.tokenizer.encode_batch_fast([p[0] for p in pieces], add_special_tokens=False)]
+        spaced = list(chain.from_iterable(p[1:] for p in pieces))
+        places = np.fromiter(map(self.place.__getitem__, spaced), np.int64, len(spaced))
+        self._learn()
+        found, at = [], 0
+        for first, some in zip(firsts, pieces):
+            rest = self._joined(places[at : at + len(some) - 1])
+            found.append(np.concatenate([np.array(first, np.uint32), rest]))
+            at += len(some) - 1
+        return found
+
+    def _learn(self) -> None:
+        """Encode new pieces, many in one text, and cut the ids where the bytes of a piece end."""
+        new, self.place.new = self.place.new, []
+        for start in range(0, len(new), 1000):
+            some = new[start : start + 1000]
+            encoding = self.tokenizer.encode_batch_fast([" " + " ".join(some)], add_special_tokens=False)[0]
+            ids = np.array(encoding.ids, np.uint32)
+            ends = np.cumsum([len(piece.encode()) + 1 for piece in some])
+            lengths = np.diff(np.searchsorted(np.cumsum(self.bytes_of[ids]), ends) + 1, prepend=0)
             self.starts.extend(self.flat.used + np.cumsum(lengths) - lengths)
-            self.flat.extend(np.fromiter(chain.from_iterable(ids), np.uint32, int(lengths.sum())))
+            self.flat.extend(ids)
             self.lengths.extend(lengths)
-            self.place.update(zip(pieces, count(len(self.place))))
 
-    def _joined(self, pieces: list[str]) -> np.ndarray:
-        places = np.fromiter(map(self.place.__getitem__, pieces), np.int64, len(pieces))
+    def _joined(self, places: np.ndarray) -> np.ndarray:
         lengths, starts = self.lengths.values[places], self.starts.values[places]
         ends = np.cumsum(lengths)
+        if not len(ends):
+            return np.zeros(0, np.uint32)
         return self.flat.values[np.repeat(starts - ends + lengths, lengths) + np.arange(ends[-1])]
 
 
+@cache
+def encoder_of(tokenizer_path: str) -> Encoder:
+    """One for each Python worker, which keeps it from task to task."""
+    return Encoder(tokenizer_path)
+
+
+class Places(dict):
+    """Numbers pieces as they are asked for; ``new`` lists those that are not encoded yet."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, piece: str) -> int:
+        self.new.append(piece)
+        place = self[piece] = len(self)
+        return place
+
+
 class Growing:
     """An array to append to."""
 
@@ -106,14 +145,16 @@ class Growing:
 
 
 def cut(text: str) -> list[str]:
-    """Cut before every space that a visible character follows; joined, the pieces give the text."""
-    first, *rest = text.split(" ")
-    pieces = [first]
-    for piece in rest:
-        if piece and not piece[0].isspace() and piece[0] not in _DOUBTFUL:
-            pieces.append(" " + piece)
-        else:
-            pieces[-1] += " " + piece
+    """Cut at every space that a visible character follows; joined by spaces, the pieces give the text."""
+    pieces = text.split(" ")
+    if _ODD_SPACE.search(text):
+        some = pieces[:1]
+        for piece in pieces[1:]:
+            if _ODD_START.match(piece):
+                some[-1] += " " + piece
+            else:
+                some.append(piece)
+        pieces = some
     return pieces
 
 
@@ -126,7 +167,7 @@ def encode(
     """
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer_path)
+        encoder = encoder_of(tokenizer_path)
         for batch in batches:
             for start in range(0, len(batch), 256):
                 part = batch.slice(start, 256)
