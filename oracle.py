@@ -5,6 +5,7 @@ Drift is stated here as the full series-by-run grid, which the Spark operators n
 
 from oracle_fixtures import CATEGORY_MAP, HISTORY, PARTS_HISTORY, PAYLOADS
 
+# Sentinel texts, on and off texts, phases that are no preview, default labels.
 SENTINELS = "('<unavailable>', '<null>', '<not-set>')"
 ON = "('true', 'enabled', '1', 'on')"
 OFF = "('false', 'disabled', '0', 'off')"
@@ -120,6 +121,15 @@ replacements AS (
   SELECT setting_name, 'reviewed' AS category, 'v_new' AS labels_version, TIMESTAMP '2024-02-01' AS classified_at
   FROM best)"""
 
+ENABLED = f"""
+enabled AS (
+  SELECT setting_name, coalesce(workspace_id, 0) AS workspace, collected_at AS last_run,
+    setting_value AS current_value, before AS previous_value
+  FROM (SELECT *, lag(setting_value) OVER series AS before, lead(collected_at) OVER series AS later
+        FROM history WHERE {PREVIEW}
+        WINDOW series AS (PARTITION BY setting_name, coalesce(workspace_id, 0) ORDER BY collected_at))
+  WHERE later IS NULL AND lower(setting_value) IN {ON} AND NOT coalesce(lower(before) IN {ON}, false))"""
+
 _HISTORY = (HISTORY,)
 _LATEST = (HISTORY, CATEGORY_MAP, NEWEST, CURRENT_CATEGORY, LATEST)
 _CURRENT = (*_LATEST, CURRENT)
@@ -190,23 +200,23 @@ def statements() -> dict[str, str]:
         # alerts
         "alert_drift": _sql(
             _DRIFT,
-            """SELECT count(*) AS drift_count, count(*) > 0 AS triggered, CAST(1 AS BIGINT) AS part,
-                 coalesce(string_agg(line, '; ' ORDER BY line), '') AS changed_settings
-               FROM (SELECT format('{} [{}]: {} ({} -> {})', setting_name, coalesce(workspace_name, '-'), change_type,
-                       coalesce(previous_value, '(none)'), coalesce(new_value, '(none)')) AS line
-                     FROM drift WHERE detected_at = (SELECT max(collected_at) FROM history))""",
+            """SELECT count(*) AS drift_count, count(*) > 0 AS triggered
+               FROM drift WHERE detected_at = (SELECT max(collected_at) FROM history)""",
+        ),
+        "alert_drift_lines": _sql(
+            _DRIFT,
+            """SELECT setting_name, workspace_name, change_type, previous_value, new_value,
+                 format('{} [{}]: {} ({} -> {})', setting_name, coalesce(workspace_name, '-'), change_type,
+                   coalesce(previous_value, '(none)'), coalesce(new_value, '(none)')) AS line
+               FROM drift WHERE detected_at = (SELECT max(collected_at) FROM history)""",
         ),
         "alert_new_preview": _sql(
-            _HISTORY,
-            f"""SELECT count(*) AS new_previews, count(*) > 0 AS triggered, CAST(1 AS BIGINT) AS part,
-                  coalesce(string_agg(line, '; ' ORDER BY line), '') AS enabled_previews
-                FROM (SELECT format('{{}} [ws {{}}]: {{}} -> {{}}', setting_name, coalesce(workspace_id, 0),
-                        coalesce(before, '(new)'), setting_value) AS line
-                      FROM (SELECT *, lag(setting_value) OVER series AS before, lead(collected_at) OVER series AS later
-                            FROM history WHERE {PREVIEW}
-                            WINDOW series AS (PARTITION BY setting_name, coalesce(workspace_id, 0) ORDER BY collected_at))
-                      WHERE later IS NULL AND lower(setting_value) IN {ON}
-                        AND NOT coalesce(lower(before) IN {ON}, false))""",
+            (HISTORY, ENABLED), "SELECT count(*) AS new_previews, count(*) > 0 AS triggered FROM enabled"
+        ),
+        "alert_new_preview_lines": _sql(
+            (HISTORY, ENABLED),
+            """SELECT *, format('{} [ws {}]: {} -> {}', setting_name, workspace, coalesce(previous_value, '(new)'),
+                 current_value) AS line FROM enabled""",
         ),
         # datasets
         "current_ds": _sql(_CURRENT, "SELECT * FROM current_ds"),
@@ -274,6 +284,24 @@ def statements() -> dict[str, str]:
             """SELECT workspace_name, count(*) FILTER (category IN ('ingestion', 'platform')) AS selectable_rows
                FROM current_ds GROUP BY workspace_name""",
         ),
+        "filter_workspace_previews": _sql(_PREVIEWS, "SELECT * FROM preview_ds WHERE workspace_name = 'ws-2'"),
+        "filter_category_current": _sql(
+            _CURRENT, "SELECT * FROM current_ds WHERE category IN ('ingestion', 'platform')"
+        ),
+        "filter_category_drift": _sql(_DRIFT, "SELECT * FROM drift WHERE category IN ('ingestion', 'platform')"),
+        "filter_values_drift": _sql(
+            _DRIFT,
+            """SELECT category, count(*) FILTER (workspace_name = 'ws-2') AS selectable_rows
+               FROM drift GROUP BY category""",
+        ),
+        "filter_values_consistency": _sql(
+            _CONSISTENCY, "SELECT category, count(*) AS selectable_rows FROM consistency GROUP BY category"
+        ),
+        "filter_values_previews": _sql(
+            _PREVIEWS,
+            """SELECT workspace_name, count(*) FILTER (category IN ('ingestion', 'platform')) AS selectable_rows
+               FROM preview_ds GROUP BY workspace_name""",
+        ),
         "cross_filter": _sql(
             _CURRENT,
             """SELECT scope, count(setting_name) AS setting_count FROM current_ds

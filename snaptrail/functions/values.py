@@ -64,14 +64,15 @@ def utc_date(df: DataFrame, column: str) -> Column:
     return F.to_date(column)
 
 
+def label_names(labels: Iterable[str] | str) -> tuple[str, ...]:
+    """Trimmed, non-empty labels, from any iterable (read once) or a comma-separated text."""
+    given = labels.split(",") if isinstance(labels, str) else labels
+    return tuple(trimmed for label in given if (trimmed := label.strip(" \t\r\n")))
+
+
 def label_array(labels: Iterable[str] | str) -> Column:
     """Trimmed, non-empty labels as an array column, from a list or a comma-separated text."""
-    if isinstance(labels, str):
-        given = F.split(F.lit(labels), ",")
-    else:
-        given = F.array(*[F.lit(label) for label in labels])
-    trimmed = F.transform(given, lambda label: F.btrim(label, F.lit(" \t\r\n")))
-    return F.filter(trimmed, lambda label: label != "")
+    return F.array(*map(F.lit, label_names(labels))).cast("array<string>")
 
 
 def labels_version(labels: Column) -> Column:

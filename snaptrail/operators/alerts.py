@@ -1,4 +1,4 @@
-"""Alert results: how much there is to report, and the text that says what."""
+"""Alert results: one row that says how much there is to report, and the lines that say what."""
 
 from __future__ import annotations
 
@@ -8,17 +8,16 @@ from pyspark.sql import functions as F
 from snaptrail.functions.values import is_on, is_preview
 from snaptrail.layout import Layout
 from snaptrail.operators.drift import latest_drift
-from snaptrail.operators.runs import latest_run
+from snaptrail.operators.runs import latest_rows
 
-# Report text per result row. A single report stays far below Spark's 2 GB string limit.
-PART_CHARS = 32 * 1024 * 1024
 
+def drift_alert(history: DataFrame, layout: Layout = Layout()) -> DataFrame:
+    """One row: ``drift_count``, the number of changes found by the newest run."""
+    return latest_drift(history, layout=layout).agg(F.count("*").alias("drift_count"))
 
-def drift_alert(
-    history: DataFrame, layout: Layout = Layout(), part_chars: int = PART_CHARS
-) -> DataFrame:
-    """``drift_count`` and ``changed_settings``: the changes found by the newest run."""
-    changes = latest_drift(history, layout=layout)
+
+def drift_alert_lines(history: DataFrame, layout: Layout = Layout()) -> DataFrame:
+    """One row per change found by the newest run, with the ``line`` that reports it."""
     line = F.concat(
         "setting_name",
         F.lit(" ["),
@@ -31,23 +30,24 @@ def drift_alert(
         _or("new_value", "(none)"),
         F.lit(")"),
     )
-    return _report(changes.select(line.alias("_line")), "drift_count", "changed_settings", part_chars)
+    changes = latest_drift(history, layout=layout)
+    return changes.select(
+        "setting_name", "workspace_name", "change_type", "previous_value", "new_value", line.alias("line")
+    )
 
 
 def preview_alert(
-    history: DataFrame,
-    layout: Layout = Layout(),
-    only_latest_run: bool = False,
-    part_chars: int = PART_CHARS,
+    history: DataFrame, layout: Layout = Layout(), only_latest_run: bool = False
 ) -> DataFrame:
-    """``new_previews`` and ``enabled_previews``: preview settings that were just switched on.
+    """One row: ``new_previews``, the number of preview settings that were just switched on."""
+    enabled = newly_enabled_previews(history, layout, only_latest_run)
+    return enabled.agg(F.count("*").alias("new_previews"))
 
-    Compares each series' last observation as a preview with the one before, however long ago
-    either was. ``only_latest_run`` leaves out series that the newest run did not see.
-    """
-    enabled = newly_enabled_previews(history, layout)
-    if only_latest_run:
-        enabled = enabled.where(F.col("last_run") == latest_run(history, layout))
+
+def preview_alert_lines(
+    history: DataFrame, layout: Layout = Layout(), only_latest_run: bool = False
+) -> DataFrame:
+    """One row per preview setting that was just switched on, with the ``line`` that reports it."""
     line = F.concat(
         "setting_name",
         F.lit(" [ws "),
@@ -57,17 +57,32 @@ def preview_alert(
         F.lit(" -> "),
         _or("current_value", "(none)"),
     )
-    return _report(enabled.select(line.alias("_line")), "new_previews", "enabled_previews", part_chars)
+    enabled = newly_enabled_previews(history, layout, only_latest_run)
+    return enabled.withColumn("line", line)
 
 
-def newly_enabled_previews(history: DataFrame, layout: Layout = Layout()) -> DataFrame:
-    """One row per preview series that is on in its last observation and was not in the one before."""
-    observed = history.where(is_preview(F.col(layout.phase))).select(
-        F.col(layout.name).alias("setting_name"),
-        layout.workspace_key().alias("workspace"),
-        F.col(layout.run).alias("_run"),
-        F.col(layout.value).alias("_observed"),
-    )
+def newly_enabled_previews(
+    history: DataFrame, layout: Layout = Layout(), only_latest_run: bool = False
+) -> DataFrame:
+    """One row per preview series that is on in its last observation and was not in the one before.
+
+    Compares each series' last observation as a preview with the one before, however long ago
+    either was. ``only_latest_run`` leaves out series that the newest run did not see as a preview;
+    their rows go before anything is ranked.
+    """
+
+    def previews(rows: DataFrame) -> DataFrame:
+        return rows.where(is_preview(F.col(layout.phase))).select(
+            F.col(layout.name).alias("setting_name"),
+            layout.workspace_key().alias("workspace"),
+            F.col(layout.run).alias("_run"),
+            F.col(layout.value).alias("_observed"),
+        )
+
+    observed = previews(history)
+    if only_latest_run:
+        seen = previews(latest_rows(history, layout)).select("setting_name", "workspace").distinct()
+        observed = observed.join(seen, ["setting_name", "workspace"], "left_semi")
     newest_first = Window.partitionBy("setting_name", "workspace").orderBy(
         F.desc("_run"), F.desc_nulls_last("_observed")
     )
@@ -92,27 +107,3 @@ def evaluate(alert: DataFrame, column: str, threshold: float = 0) -> DataFrame:
 
 def _or(column: str, text: str) -> Column:
     return F.coalesce(F.col(column), F.lit(text))
-
-
-def _report(lines: DataFrame, count_name: str, text_name: str, part_chars: int) -> DataFrame:
-    """One row with the number of lines and all lines, sorted and joined; also when there are none.
-
-    A report longer than ``part_chars`` comes as several rows, numbered by ``part``: each has the
-    full count and its own share of the lines. So no row and no task has to hold a report of
-    unbounded length, and no line is lost.
-    """
-    totals = lines.agg(
-        F.count("*").alias(count_name),
-        F.coalesce(F.sum(F.length("_line") + 2), F.lit(0)).alias("_chars"),
-    ).withColumn("_parts", F.floor(F.col("_chars") / part_chars) + 1)
-    parts = totals.select(
-        count_name, F.explode(F.sequence(F.lit(1).cast("bigint"), "_parts")).alias("part")
-    )
-    part_of = F.pmod(F.xxhash64("_line"), totals.select("_parts").scalar()) + 1
-    texts = (
-        lines.groupBy(part_of.alias("part"))
-        .agg(F.array_join(F.array_sort(F.collect_list("_line")), "; ").alias("_text"))
-    )
-    return parts.join(texts, "part", "left").select(
-        count_name, F.coalesce("_text", F.lit("")).alias(text_name), "part"
-    )

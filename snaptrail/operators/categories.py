@@ -68,8 +68,16 @@ def classify_new(
 
 
 def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str] = MAP_KEYS) -> DataFrame:
-    """``target`` with the rows of ``updates`` in place of, or in addition to, its own by ``keys``."""
-    return target.join(updates, list(keys), "left_anti").unionByName(updates)
+    """``target`` with the rows of ``updates`` in place of, or in addition to, its own by ``keys``.
+
+    Of updates that repeat their keys, one stays: the newest where they say when they were
+    classified, and otherwise the first by its values.
+    """
+    others = [F.col(c) for c in updates.columns if c not in keys]
+    newest = [F.desc_nulls_last("classified_at")] if "classified_at" in updates.columns else []
+    first = Window.partitionBy(*keys).orderBy(*newest, *others)
+    single = updates.withColumn("_place", F.row_number().over(first)).where("_place = 1").drop("_place")
+    return target.join(single, list(keys), "left_anti").unionByName(single)
 
 
 def apply_categories(
@@ -80,11 +88,14 @@ def apply_categories(
     category: str = "category",
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Set each row's category from the map's current label set; NULL where it has none."""
+    """Set each row's category from the map's current label set; NULL where it has none.
+
+    Of several entries for a setting the newest counts, so rows are never multiplied.
+    """
     version = labels_version(label_array(labels))
-    current = category_map.where(F.col("labels_version") == version).select(
-        F.col("setting_name").alias(name), F.col("category").alias("_category")
-    )
+    entries = category_map.where(F.col("labels_version") == version)
+    newest = F.max_by("category", F.struct(F.coalesce("classified_at", F.lit("0001-01-01").cast("timestamp_ntz")), F.coalesce("category", F.lit(""))))
+    current = entries.groupBy(F.col("setting_name").alias(name)).agg(newest.alias("_category"))
     looked_up = lookup(rows, current, name, broadcast_bytes)
     return looked_up.withColumn(category, F.col("_category")).select(*_with(rows.columns, category))
 

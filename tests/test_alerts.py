@@ -2,6 +2,7 @@
 
 import pytest
 
+from snaptrail.layout import Layout
 from snaptrail.operators import alerts
 from tests.histories import day, history
 from tests.plans import final_plan
@@ -14,42 +15,51 @@ def only_row(df):
     return row
 
 
-def test_drift_alert_text_is_sorted(spark):
+def lines(df):
+    return sorted(row.line for row in df.collect())
+
+
+def test_drift_alert_lines(spark):
     rows = [
         (1, 1, "b", "x"), (2, 1, "b", "y"),
         (1, None, "a", "x"),
         (2, 2, "c", "new"),
     ]
-    row = only_row(alerts.drift_alert(history(spark, rows)))
-    assert row.drift_count == 3
-    assert row.changed_settings == (
-        "a [-]: removed (x -> (none)); b [ws-1]: value_changed (x -> y); c [ws-2]: added ((none) -> new)"
-    )
+    frame = history(spark, rows)
+    assert only_row(alerts.drift_alert(frame)).drift_count == 3
+    assert lines(alerts.drift_alert_lines(frame)) == [
+        "a [-]: removed (x -> (none))", "b [ws-1]: value_changed (x -> y)", "c [ws-2]: added ((none) -> new)"
+    ]
 
 
 def test_drift_alert_sees_the_newest_run_only(spark):
     rows = [(1, 1, "s", "x"), (2, 1, "s", "y"), (3, 1, "s", "y")]
-    row = only_row(alerts.drift_alert(history(spark, rows)))
-    assert (row.drift_count, row.changed_settings, row.part) == (0, "", 1)
+    frame = history(spark, rows)
+    assert only_row(alerts.drift_alert(frame)).drift_count == 0
+    assert lines(alerts.drift_alert_lines(frame)) == []
 
 
 @pytest.mark.parametrize("rows", [[], [(1, 1, "s", "true", BETA)]])
 def test_one_row_even_without_anything_to_report(spark, rows):
-    row = only_row(alerts.drift_alert(history(spark, rows)))
-    assert (row.drift_count, row.changed_settings) == (0, "")
-    row = only_row(alerts.preview_alert(history(spark, rows)))
-    assert row.new_previews == len(rows)
+    frame = history(spark, rows)
+    assert only_row(alerts.drift_alert(frame)).drift_count == 0
+    assert only_row(alerts.preview_alert(frame)).new_previews == len(rows)
 
 
-def test_long_reports_come_in_parts_and_stay_whole(spark):
-    rows = [(run, 1, f"s{i:03}", str(run)) for run in (1, 2) for i in range(200)]
-    frame = history(spark, rows)
-    whole = only_row(alerts.drift_alert(frame))
-    parts = alerts.drift_alert(frame, part_chars=1000).collect()
-    assert len(parts) > 5
-    assert {r.drift_count for r in parts} == {200}
-    lines = [line for r in parts for line in r.changed_settings.split("; ") if line]
-    assert sorted(lines) == whole.changed_settings.split("; ")
+@pytest.mark.parametrize("changes", [0, 1, 10_000])
+def test_an_alert_is_one_row_and_fires_once(spark, changes):
+    rows = spark.range(max(changes, 1)).selectExpr("concat('s', id) AS setting_name", "id")
+    both = rows.crossJoin(spark.createDataFrame([(day(1), "x"), (day(2), "y" if changes else "x")], "collected_at TIMESTAMP, setting_value STRING"))
+    frame = both.selectExpr("setting_name", "setting_value", "collected_at", "CAST(1 AS BIGINT) AS workspace_id", "'ws-1' AS workspace_name")
+    row = only_row(alerts.evaluate(alerts.drift_alert(frame), "drift_count"))
+    assert (row.drift_count, row.triggered) == (changes, changes > 0)
+    assert alerts.drift_alert_lines(frame).count() == changes
+
+
+def test_equal_lines_all_stay(spark):
+    rows = [(run, ws, "s", str(run)) for run in (1, 2) for ws in range(1, 400)]
+    found = lines(alerts.drift_alert_lines(history(spark, rows), Layout(workspace_name=None)))
+    assert found == ["s [-]: value_changed (1 -> 2)"] * 399
 
 
 @pytest.mark.parametrize(
@@ -77,14 +87,22 @@ def test_preview_alert(spark, series, fires):
 def test_preview_alert_keeps_firing_for_vanished_settings(spark):
     rows = [(1, 1, "gone", "true", BETA), (2, 1, "other", "false", BETA)]
     frame = history(spark, rows)
-    assert only_row(alerts.preview_alert(frame)).enabled_previews == "gone [ws 1]: (new) -> true"
+    assert lines(alerts.preview_alert_lines(frame)) == ["gone [ws 1]: (new) -> true"]
     assert only_row(alerts.preview_alert(frame, only_latest_run=True)).new_previews == 0
 
 
 def test_preview_text(spark):
     rows = [(1, None, "b", "off", BETA), (2, None, "b", "on", BETA), (2, 3, "a", "1", BETA)]
-    row = only_row(alerts.preview_alert(history(spark, rows)))
-    assert row.enabled_previews == "a [ws 3]: (new) -> 1; b [ws 0]: off -> on"
+    assert lines(alerts.preview_alert_lines(history(spark, rows))) == ["a [ws 3]: (new) -> 1", "b [ws 0]: off -> on"]
+
+
+def test_series_the_newest_run_did_not_see_go_before_the_ranking(spark):
+    rows = [(1, 1, "gone", "true", BETA), (1, 1, "s", "off", BETA), (2, 1, "s", "on", BETA), (2, 1, "t", "on", {"preview_phase": "GA"})]
+    frame = history(spark, rows)
+    enabled = alerts.newly_enabled_previews(frame, only_latest_run=True)
+    assert [row.setting_name for row in enabled.collect()] == ["s"]
+    plan = final_plan(enabled)
+    assert plan.index("WindowGroupLimit") < plan.index("LeftSemi")
 
 
 def test_newly_enabled_rows(spark):

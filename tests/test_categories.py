@@ -113,3 +113,13 @@ def test_classifier_may_be_a_pandas_udf(spark):
     settings = spark.createDataFrame([("a", "d"), ("bb", "d")], "setting_name STRING, descr STRING")
     new = categories.classify_new(settings, category_map(spark, []), LABELS, pick, F.lit(day(1)))
     assert {r.setting_name: r.category for r in new.collect()} == {"a": "alpha", "bb": "beta"}
+
+
+def test_repeated_entries_and_updates_never_multiply_rows(spark):
+    now = version_of(spark, LABELS)
+    rows = history(spark, [(1, 1, "s", "v"), (1, 2, "s", "v")])
+    known = category_map(spark, [("s", "old", now, 1), ("s", "new", now, 2), ("s", "new", now, 2)])
+    found = categories.apply_categories(rows, known, LABELS).collect()
+    assert [row.category for row in found] == ["new", "new"]
+    merged = categories.upsert(category_map(spark, [("s", "x", now, 1), ("t", "y", now, 1)]), known)
+    assert sorted((r.setting_name, r.category) for r in merged.collect()) == [("s", "new"), ("t", "y")]

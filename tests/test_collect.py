@@ -198,3 +198,25 @@ def test_append_to_a_table_with_a_new_column(spark, table):
     assert [r.deprecated_on for r in found] == [None, datetime(2024, 1, 2).date(), None]
     assert [r.setting_name for r in found] == ["s", "s", "s"]
     assert spark.table(table).columns[-2:] == ["deprecated_on", "collected_on"]
+
+
+def test_labels_may_be_read_once_only(spark, paths):
+    found = run(spark, 1, paths, labels=(label for label in ("a", "b"))).collect()
+    assert {row.category for row in found} == {"a"}
+
+
+@pytest.mark.parametrize("labels", ["", " , ", [" ", "\t"]])
+def test_blank_labels_are_none(spark, paths, labels):
+    def never(text, given):
+        return F.raise_error(F.lit("called"))
+
+    assert {row.category for row in run(spark, 1, paths, labels=labels, classifier=never).collect()} == {None}
+    assert paths.categories(spark).count() == 0
+
+
+def test_storage_failures_are_raised(spark, tmp_path):
+    (tmp_path / "file").write_text("")
+    broken = tables.PathStore(f"{tmp_path}/history", f"{tmp_path}/file/map")
+    with pytest.raises(Exception):
+        run(spark, 1, broken)
+    assert not (tmp_path / "history").exists()
