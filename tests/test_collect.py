@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from snaptrail.operators import ingest
 from snaptrail.plans.collect import build_snapshot, collect
-from snaptrail.plans.views import register_views
+from snaptrail.plans.views import create_catalog_views, register_views
 from snaptrail.sources import tables
 from tests.histories import category_map, day, history
 
@@ -220,3 +220,18 @@ def test_storage_failures_are_raised(spark, tmp_path):
     with pytest.raises(Exception):
         run(spark, 1, broken)
     assert not (tmp_path / "history").exists()
+
+
+def test_catalog_views_last_and_see_later_runs(spark, catalog):
+    run(spark, 1, catalog)
+    create_catalog_views(spark, catalog, "runs")
+    run(spark, 2, catalog, value="false")
+    run(spark, 3, catalog, value="null")
+    other = spark.newSession()
+    names = ("settings_latest", "workspace_comparison", "settings_drift")
+    for name in names:
+        lasting, of_session = other.table(f"runs.{name}"), spark.table(name)
+        assert sorted(lasting.columns) == sorted(of_session.columns)
+        order = of_session.columns
+        rows = [sorted(map(str, df.select(*order).collect())) for df in (lasting, of_session)]
+        assert rows[0] == rows[1] and rows[0]
