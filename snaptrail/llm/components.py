@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,10 +17,9 @@ def components(edges: DataFrame) -> DataFrame:
     Hubs are no problem: minima are taken before the shuffle, and Spark splits the hot keys of joins.
     Rounds grow with the logarithm of the longest path.
     """
-    edges = edges.where("a <> b")
+    edges = cut_lineage(edges.select("a", "b").where("a <> b").distinct())
     parents = edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct()
     parents = cut_lineage(parents.withColumn("parent", F.col("node")))
-    edges = cut_lineage(edges.select("a", "b").distinct())
     while not edges.isEmpty():
         # Every edge is one between roots here.
         hooks = edges.select(F.greatest("a", "b").alias("root"), F.least("a", "b").alias("smaller"))
@@ -31,13 +32,14 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _flattened(hooks: DataFrame) -> DataFrame:
-    """root, smaller with ``smaller`` a root that is hooked to none."""
+    """root, smaller with ``smaller`` a root that is hooked to none; each round goes three hooks up."""
     while True:
-        upper = hooks.select(F.col("root").alias("smaller"), F.col("smaller").alias("next"))
-        jumped = hooks.join(upper, "smaller", "left")
-        jumped = cut_lineage(jumped.select("root", F.coalesce("next", "smaller").alias("smaller"), "next"))
+        second = hooks.select(F.col("root").alias("smaller"), F.col("smaller").alias("second"))
+        third = hooks.select(F.col("root").alias("second"), F.col("smaller").alias("third"))
+        jumped = hooks.join(second, "smaller", "left").join(third, "second", "left")
+        jumped = cut_lineage(jumped.select("root", F.coalesce("third", "second", "smaller").alias("smaller"), "third"))
         hooks = jumped.select("root", "smaller")
-        if jumped.where("next IS NOT NULL").isEmpty():
+        if jumped.where("third IS NOT NULL").isEmpty():
             return hooks
 
 
@@ -45,3 +47,23 @@ def _renamed(table: DataFrame, column: str, roots: DataFrame) -> DataFrame:
     roots = roots.select(F.col("root").alias(column), "smaller")
     joined = table.join(roots, column, "left").withColumn(column, F.coalesce("smaller", column))
     return joined.select(*table.columns)
+
+
+def components_within(edges: DataFrame, group: str) -> DataFrame:
+    """The same for edges that lie inside groups of a bounded size, each in a task of its own."""
+
+    def connected(table: pa.Table) -> pa.Table:
+        nodes, ends = np.unique(np.concatenate([table["a"].to_numpy(), table["b"].to_numpy()]), return_inverse=True)
+        root = list(range(len(nodes)))
+
+        def find(i: int) -> int:
+            while root[i] != i:
+                root[i] = i = root[root[i]]
+            return i
+
+        for a, b in ends.reshape(2, -1).T.tolist():
+            low, high = sorted((find(a), find(b)))
+            root[high] = low
+        return pa.table({"node": nodes, "component": nodes[[find(i) for i in range(len(nodes))]]})
+
+    return edges.groupBy(group).applyInArrow(connected, "node long, component long")

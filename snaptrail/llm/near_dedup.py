@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snaptrail.llm.common import cut_lineage, documents, stored
-from snaptrail.llm.components import components
+from snaptrail.llm.components import components, components_within
 from snaptrail.llm.ngrams import LOWER, texts
 
 SHINGLE_WORDS = 5
@@ -33,6 +33,9 @@ BAND_ROWS = 6
 # Nodes of a block; a task holds the sets of two blocks.
 BLOCK_NODES = 512
 
+# The links of coarse groups of up to so many blocks are connected in one task, by node ids alone.
+GROUP_BLOCKS = 200
+
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -151,6 +154,7 @@ def near_groups(
     bands: int = BANDS,
     band_rows: int = BAND_ROWS,
     block_nodes: int = BLOCK_NODES,
+    group_blocks: int = GROUP_BLOCKS,
 ) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row of ``docs``.
 
@@ -169,8 +173,13 @@ def near_groups(
     # One node per different set: the smallest id that has it.
     sets = named.groupBy("print_a", "print_b").agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands"))
     sets = stored(sets)
-    links = _links(rows, cut_lineage(components(_candidates(sets))), percent, block_nodes)
-    groups = components(links.unionByName(_same_id(named, sets)))
+    placed = cut_lineage(_placed(components(_candidates(sets)), block_nodes))
+    links = _links(rows, placed, percent)
+    several = _several(named)
+    if several.isEmpty() and placed.where(F.col("blocks") > group_blocks).isEmpty():
+        groups = components_within(links, "component")
+    else:
+        groups = components(links.select("a", "b").unionByName(_same_id(named, sets, several)))
     own = named.select("doc_id", "print_a", "print_b").join(sets.select("print_a", "print_b", "node"), ["print_a", "print_b"])
     # All texts of an id are in one component, so the smallest of any of them is it.
     own = own.join(groups, "node", "left").groupBy("doc_id").agg(F.min(F.coalesce("component", "node")).alias("component"))
@@ -180,12 +189,15 @@ def near_groups(
     return result.select("doc_id", "n_shingles", component.alias("component_id"), kept.alias("kept"))
 
 
-def _same_id(named: DataFrame, sets: DataFrame) -> DataFrame:
+def _several(named: DataFrame) -> DataFrame:
+    """Ids that repeat with different sets."""
+    prints = F.struct("print_a", "print_b")
+    ends = named.groupBy("doc_id").agg(F.min(prints).alias("low"), F.max(prints).alias("high"))
+    return ends.where("low <> high").select("doc_id")
+
+
+def _same_id(named: DataFrame, sets: DataFrame, several: DataFrame) -> DataFrame:
     """Edges between the sets of an id that repeats with different texts."""
-    several = named.groupBy("doc_id").agg(
-        F.min(F.struct("print_a", "print_b")).alias("low"), F.max(F.struct("print_a", "print_b")).alias("high")
-    )
-    several = several.where("low <> high").select("doc_id")
     repeated = named.join(several, "doc_id").join(sets.select("print_a", "print_b", "node"), ["print_a", "print_b"])
     return repeated.select(F.col("node").alias("a"), F.col("doc_id").alias("b"))
 
@@ -198,17 +210,16 @@ def _candidates(sets: DataFrame) -> DataFrame:
     return keyed.join(shared, "band").where("node <> a").select("a", F.col("node").alias("b")).distinct()
 
 
-def _links(rows: DataFrame, coarse: DataFrame, percent: int, block_nodes: int) -> DataFrame:
-    """Verified links (a, b) that connect what all links inside coarse groups connect."""
+def _placed(coarse: DataFrame, block_nodes: int) -> DataFrame:
+    """Each node of a coarse group in one of its blocks."""
     sizes = coarse.groupBy("component").agg(F.count("*").alias("nodes"))
-    blocks = F.ceil(F.col("nodes") / block_nodes).cast("int")
-    placed = coarse.join(sizes, "component").withColumn("blocks", blocks)
-    placed = placed.select(
-        F.col("node").alias("doc_id"),
-        "component",
-        "blocks",
-        F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"),
-    )
+    placed = coarse.join(sizes, "component").withColumn("blocks", F.ceil(F.col("nodes") / block_nodes).cast("int"))
+    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    return placed.select(F.col("node").alias("doc_id"), "component", "blocks", block.alias("block"))
+
+
+def _links(rows: DataFrame, placed: DataFrame, percent: int) -> DataFrame:
+    """Verified links (component, a, b) that connect what all links inside coarse groups connect."""
     shingled = rows.join(placed, "doc_id").mapInArrow(
         _shingled, "doc_id long, component long, blocks int, block int, shingles binary"
     )
@@ -222,9 +233,12 @@ def _links(rows: DataFrame, coarse: DataFrame, percent: int, block_nodes: int) -
         nodes = table["doc_id"].to_numpy()
         sets = [np.frombuffer(x.as_py(), np.uint64) for x in table["shingles"]]
         found = forest(nodes, sets, table["block"].to_numpy(), percent)
-        return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+        group = pa.array([table["component"][0].as_py()] * len(found), pa.int64())
+        ends = (pa.array([link[i] for link in found], pa.int64()) for i in range(2))
+        return pa.Table.from_arrays([group, *ends], ["component", "a", "b"])
 
-    return pairs.groupBy("component", "low", "high").applyInArrow(verify, "a long, b long")
+    schema = "component long, a long, b long"
+    return pairs.groupBy("component", "low", "high").applyInArrow(verify, schema)
 
 
 def _shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -309,8 +309,8 @@ def test_repeats_of_edge_cases(edge):
     assert remove_repeats(edge.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("block_nodes", [4, 512])
-def test_near_groups_equal_brute_force(spark, block_nodes):
+@pytest.mark.parametrize("block_nodes, group_blocks", [(4, 200), (4, 1), (512, 200)])
+def test_near_groups_equal_brute_force(spark, block_nodes, group_blocks):
     random.seed(4)
     vocabulary = [f"w{i}" for i in range(500)]
     docs = []
@@ -330,7 +330,7 @@ def test_near_groups_equal_brute_force(spark, block_nodes):
                 low, high = sorted((group[a], group[b]))
                 group = {i: low if g == high else g for i, g in group.items()}
     table = spark.createDataFrame(docs, "doc_id long, text string")
-    rows = near_groups(table, 85, block_nodes=block_nodes).collect()
+    rows = near_groups(table, 85, block_nodes=block_nodes, group_blocks=group_blocks).collect()
     found = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in rows}
     assert found == {i: (len(sets[i]), group[i], group[i] == i) for i in sets}
 
