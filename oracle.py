@@ -197,6 +197,10 @@ def statements() -> dict[str, str]:
         "latest_drift": _sql(
             _DRIFT, "SELECT * FROM drift WHERE detected_at = (SELECT max(collected_at) FROM history)"
         ),
+        # the same over a stored history
+        "stored_latest": _sql(_LATEST, "SELECT *, CAST(collected_at AS DATE) AS collected_on FROM latest"),
+        "stored_consistency": _sql(_CONSISTENCY, "SELECT * FROM consistency"),
+        "stored_drift": _sql(_DRIFT, "SELECT * FROM drift"),
         # alerts
         "alert_drift": _sql(
             _DRIFT,
