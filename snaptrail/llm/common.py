@@ -9,7 +9,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from snaptrail.operators.lookup import cut_lineage, shared_folder
@@ -37,6 +37,20 @@ def held_out(doc_id: Column, folds: int = 5) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds == 0, F.lit(False))
 
 
+def first_by_hash(rows: DataFrame, by: str, n: int) -> DataFrame:
+    """Of each value of ``by`` the ``n`` rows whose doc_id has the smallest hash.
+
+    Rows are ranked in slices of a value first, so that the last step, in one task per value, gets at most
+    ``n`` rows of each slice however many rows the value has.
+    """
+    order = (F.xxhash64("doc_id"), F.col("doc_id"))
+    rows = rows.withColumn("_slice", F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.lit(64)))
+    for keys in ([by, "_slice"], [by]):
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+        rows = rows.withColumn("_place", place).where(F.col("_place") <= n)
+    return rows.drop("_place", "_slice")
+
+
 def stored(df: DataFrame, partition_by: Iterable[str] = ()) -> DataFrame:
     """Write ``df`` as Parquet to the folder that all executors share, and read on from there."""
     spark = df.sparkSession
@@ -45,4 +59,4 @@ def stored(df: DataFrame, partition_by: Iterable[str] = ()) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-__all__ = ["cut_lineage", "documents", "held_out", "lower_ascii", "shared_folder", "stored", "table"]
+__all__ = ["cut_lineage", "documents", "first_by_hash", "held_out", "lower_ascii", "shared_folder", "stored", "table"]

@@ -12,10 +12,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snaptrail.llm.common import documents
+from snaptrail.llm.common import documents, first_by_hash
 from snaptrail.llm.ngrams import letters, ngram_buckets, texts
 
 SIZES = (1, 2, 3)
@@ -81,8 +81,7 @@ def fit(docs: DataFrame, lang_col: str = "lang", per_language: int = TRAINING_PE
     named = named.groupBy("doc_id").agg(F.min("lang").alias("lang"))
     if named.select("lang").distinct().limit(MAX_LANGUAGES + 1).count() > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    drawn = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = named.withColumn("place", F.row_number().over(drawn)).where(F.col("place") <= per_language)
+    chosen = first_by_hash(named, "lang", per_language)
     training = documents(docs).join(F.broadcast(chosen.select("doc_id", "lang")), "doc_id")
     training = training.groupBy("doc_id", "lang").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
 

@@ -11,10 +11,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snaptrail.llm.common import documents
+from snaptrail.llm.common import documents, first_by_hash
 from snaptrail.llm.ngrams import ngram_buckets, texts
 
 SIZES = (5, 7)
@@ -57,8 +57,7 @@ def sample_features(docs: DataFrame, labels: DataFrame, per_class: int = LABELLE
     """
     known = labels.where("toxic IN (0, 1) AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     present = known.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
-    drawn = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = present.withColumn("place", F.row_number().over(drawn)).where(F.col("place") <= per_class)
+    chosen = first_by_hash(present, "toxic", per_class)
     # At most 2 * per_class rows.
     labelled = docs.join(F.broadcast(chosen.select("doc_id", "toxic")), "doc_id")
     labelled = labelled.groupBy("doc_id", "toxic").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
