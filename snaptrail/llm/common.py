@@ -59,4 +59,19 @@ def stored(df: DataFrame, partition_by: Iterable[str] = ()) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-__all__ = ["cut_lineage", "documents", "first_by_hash", "held_out", "lower_ascii", "shared_folder", "stored", "table"]
+def once(rows: DataFrame, *keys: str) -> DataFrame:
+    """One row of those that agree in ``keys``, none of them null: the smallest by the other columns in order.
+
+    Only rows that repeat are brought together; those that do not are never shuffled unless the keys of
+    repeated rows are too many for a broadcast.
+    """
+    repeated = stored(rows.groupBy(*keys).count().where("count > 1").select(*keys))
+    if repeated.isEmpty():
+        return rows
+    others = [c for c in rows.columns if c not in keys]
+    smallest = rows.join(repeated, list(keys), "left_semi").groupBy(*keys).agg(F.min(F.struct(*others)).alias("_row"))
+    smallest = smallest.select(*keys, *(F.col("_row")[c].alias(c) for c in others))
+    return rows.join(repeated, list(keys), "left_anti").unionByName(smallest)
+
+
+__all__ = ["cut_lineage", "documents", "first_by_hash", "held_out", "lower_ascii", "once", "shared_folder", "stored", "table"]

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from snaptrail.llm.common import documents, stored
+from snaptrail.llm.common import documents, once, stored
 from snaptrail.llm.near_dedup import mixed
 from snaptrail.llm.ngrams import texts
 
@@ -106,10 +106,12 @@ def remove_repeats(
     one id stand one after the other, by hash. Rows without an id come before all others.
     """
     rows = _placed(documents(docs, id_col, text_col))
-    first = stored(_sorted_anchors(rows, length, gram, chunk_bytes))
+    # Copies of a row would find their own text repeated.
+    single = once(rows, "doc", "base")
+    first = stored(_sorted_anchors(single, length, gram, chunk_bytes))
     spans = first.where("place IS NULL").select("doc", "start", "end")
     open_anchors = first.where("place IS NOT NULL")
-    spans = spans.unionByName(_decided(rows, open_anchors, length, gram, chunk_pieces))
+    spans = spans.unionByName(_decided(single, open_anchors, length, gram, chunk_pieces))
     by_text = _by_text(spans)
     by_text = by_text.select(F.col("doc").alias("_doc"), F.col("base").alias("_base"), "spans")
     joined = rows.join(by_text, (F.col("doc") == F.col("_doc")) & (F.col("base") == F.col("_base")), "left")

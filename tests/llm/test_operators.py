@@ -309,6 +309,22 @@ def test_repeats_of_edge_cases(edge):
     assert remove_repeats(edge.limit(0)).count() == 0
 
 
+def test_repeats_keep_rows_that_repeat_with_their_id(spark):
+    random.seed(9)
+    a, b, c, d = ("".join(random.choices("abcdefgh ", k=500)) for _ in range(4))
+    # A part of each long text comes again, so that anchors with different surroundings are decided too.
+    docs = [(1, a), (1, a), (None, b), (None, b), (2, c), (2, c), (2, d), (3, a[50:300] + d), (4, b[100:400] + "x"), (None, "short")]
+    distinct = sorted(set(docs), key=lambda row: (row[0] is not None, row[0] or 0))
+    table = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    rows = remove_repeats(table).collect()
+    assert len(rows) == len(docs)
+    found = {(r.doc_id, r.n_bytes, r.n_removed, bytes(r.kept)) for r in rows}
+    expected = {(i, *result[:2], result[3]) for (i, _), result in zip(distinct, brute_repeats(
+        [(place, text) for place, (_, text) in enumerate(distinct)], 100).values())}
+    assert found == expected
+    assert sorted(r.n_removed for r in rows if r.doc_id in (1, None)) == [0] * 5
+
+
 @pytest.mark.parametrize("block_nodes, group_blocks", [(4, 200), (4, 1), (512, 200)])
 def test_near_groups_equal_brute_force(spark, block_nodes, group_blocks):
     random.seed(4)
