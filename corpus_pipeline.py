@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snaptrail.llm import language_id, token_files
-from snaptrail.llm.common import held_out, shared_folder, table
+from snaptrail.llm.common import held_out, once, shared_folder, table
 from snaptrail.llm.decontamination import contamination
 from snaptrail.llm.mixing import mix
 from snaptrail.llm.near_dedup import near_groups
@@ -28,17 +28,26 @@ NEAR_PERCENT = 80
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the language identifier does not reject; it learns from the labelled ones."""
     model = language_id.fit(docs.where(~held_out(F.col("doc_id"))))
-    return _kept(docs, language_id.predict(docs, model).where("NOT rejected"))
+    docs = _keyed(docs)
+    return _kept(docs, language_id.predict(docs, model, "_key").where("NOT rejected"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates."""
-    return _kept(docs, near_groups(docs, NEAR_PERCENT).where("kept"))
+    """Of each group of near duplicates the row with the smallest id, and of equal rows one.
+
+    Each different text of an id is compared by itself, as are texts without an id, which come last.
+    """
+    docs = once(_keyed(docs), "_key")
+    groups = near_groups(docs, NEAR_PERCENT, "_key").select(F.col("doc_id").alias("_key"), "component_id")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "_key")
+    first = docs.select("_key", "doc_id").join(groups, "_key").groupBy("component_id").agg(F.min(order).alias("first"))
+    return _kept(docs, first.select(F.col("first._key").alias("doc_id")))
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no window of a benchmark item occurs."""
-    found = contamination(docs, table(spark, sf_dir, "benchmark"))
+    docs = _keyed(docs)
+    found = contamination(docs, table(spark, sf_dir, "benchmark"), "_key")
     return _kept(docs, found.where("NOT contaminated"))
 
 
@@ -47,10 +56,13 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A document that the front of its shard's last round ends in is in or out as a whole.
     """
-    times = mix(docs).select("doc_id", F.expr("CAST((2 * taken + size) div (2 * greatest(size, 1)) AS INT)").alias("times"))
-    times = times.where("times > 0").groupBy("doc_id").agg(F.max("times").alias("times"))
+    docs = _keyed(docs, *COLUMNS)
+    times = F.expr("CAST((2 * taken + size) div (2 * greatest(size, 1)) AS INT)").alias("times")
+    # Rows that agree in all columns have a key in common, and the sum of what each of them is taken.
+    times = mix(docs, key_col="_key").select(F.col("key").alias("doc_id"), times).where("times > 0")
+    times = times.groupBy("doc_id").agg(F.sum("times").cast("int").alias("times"))
     repeats = F.explode(F.sequence(F.lit(1), F.col("times"))).alias("_repeat")
-    return _kept(docs, times, "times").select(*COLUMNS, repeats).select(*COLUMNS)
+    return _kept(once(docs, "_key"), times, "times").select(*COLUMNS, repeats).select(*COLUMNS)
 
 
 def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,10 +72,17 @@ def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return token_files.checksums(spark, path)
 
 
+def _keyed(docs: DataFrame, *columns: str) -> DataFrame:
+    """Adds ``_key``, a hash of ``columns``, nulls told apart: what one decision holds for."""
+    columns = columns or ("doc_id", "text")
+    nulls = (F.col(c).isNull() for c in columns)
+    return docs.select(*COLUMNS, F.xxhash64(*columns, *nulls).alias("_key"))
+
+
 def _kept(docs: DataFrame, chosen: DataFrame, *columns: str) -> DataFrame:
-    """Rows of ``docs`` with a chosen id, nulls among them, with ``columns`` of the choice."""
-    chosen = chosen.select(F.col("doc_id").alias("_id"), *columns).dropDuplicates(["_id"])
-    return docs.select(*COLUMNS).join(chosen, F.col("doc_id").eqNullSafe(F.col("_id"))).select(*COLUMNS, *columns)
+    """Rows of ``docs`` whose key is a chosen doc_id, with ``columns`` of the choice."""
+    chosen = chosen.select(F.col("doc_id").alias("_key"), *columns).dropDuplicates(["_key"])
+    return docs.join(chosen, "_key").select(*COLUMNS, *columns)
 
 
 STAGES = [

@@ -109,18 +109,21 @@ def mix(
     block_words: int = BLOCK_WORDS,
     shard_words: int = SHARD_WORDS,
     seed: int = 0,
+    key_col: str | None = None,
 ) -> DataFrame:
-    """doc_id, source, size, source_size, target and taken for every row of ``docs``.
+    """doc_id, source, size, source_size, target and taken for every row of ``docs``, and ``key`` if it is named.
 
     ``size`` counts words, ``taken`` how many of them the mix takes, repeats counted. The sum of taken
     over a source is within a few blocks of its target, and never above ``max_repeats`` times its size;
     neither is it for any row. Null texts and texts of white space have no words and are never taken. A
     null source is a source of its own. Ties, and rows that repeat an id, are ordered by id, then by
-    size; rows that agree in both are taken in any order, which gives the same rows. An empty table
-    gives an empty result.
+    size; rows that agree in both are taken by ``key_col``, or without it in any order, which gives the same
+    rows. An empty table gives an empty result.
     """
+    key = [F.col(key_col).alias("key")] if key_col else []
+    by_key = ["key"] if key_col else []
     rows = docs.select(
-        F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size")
+        F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), *key
     )
     rows = rows.withColumn("draw", F.xxhash64(F.lit(seed), "doc_id", "size"))
     rows = cut_lineage(rows)
@@ -140,7 +143,7 @@ def mix(
     cells = _quotas(cells, "source", "words", "source_blocks", block_words, max_repeats, "quota")
     cells = cut_lineage(cells.select("source", "shard", "words", "quota"))
     rows = _with(rows, cells, ["source", "shard"])
-    seeded = Window.partitionBy("source", "shard").orderBy(F.hash("draw"), "draw", "doc_id", "size")
+    seeded = Window.partitionBy("source", "shard").orderBy(F.hash("draw"), "draw", "doc_id", "size", *by_key)
     before = F.coalesce(
         F.sum("size").over(seeded.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long")
     )
@@ -154,6 +157,7 @@ def mix(
         "source_size",
         "target",
         (rounds * F.col("size") + front).cast("long").alias("taken"),
+        *by_key,
     )
 
 

@@ -72,3 +72,44 @@ def test_stages_take_edge_cases(spark, name, stage):
         result = stage(spark, given, SF_DIR)
         assert name == "token_files" or result.columns == given.columns
         assert result.count() <= 3 * given.count()
+
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def test_stages_decide_by_row_where_ids_repeat_or_are_null(spark, docs):
+    leak = spark.read.parquet(f"{SF_DIR}/benchmark.parquet").first().text
+    clean = "one clean text of more than five words that no other text is like"
+    other = "something else entirely is written here and it shares nothing at all"
+    near = " ".join(f"w{i}" for i in range(200))
+    pairs = [(None, clean), (None, leak), (7, other), (7, leak)]
+    table = spark.createDataFrame([(i, t, "en", "a", 1) for i, t in pairs], DOCS).repartition(2)
+    apart = corpus_pipeline.uncontaminated(spark, table, SF_DIR).collect()
+    assert {(r.doc_id, r.text) for r in apart} == {(None, clean), (7, other)} and len(apart) == 2
+
+    known = [(r.doc_id, r.text, r.lang, r.source, 1) for r in docs]
+    odd = [(None, docs[0].text, None, "a", 1), (None, "123 456", None, "a", 1), (-7, docs[1].text, None, "a", 1), (-7, "7 8", None, "a", 1)]
+    clean_rows = corpus_pipeline.known_language(spark, spark.createDataFrame(known + odd, DOCS), SF_DIR).collect()
+    texts = {(r.doc_id, r.text) for r in clean_rows}
+    assert {(None, docs[0].text), (-7, docs[1].text)} <= texts and not {(None, "123 456"), (-7, "7 8")} & texts
+
+    rows = [(5, other), (5, other), (None, clean), (None, clean), (8, near), (8, near + " end"), (9, near + " and"), (None, near), (9, "quite alone")]
+    table = spark.createDataFrame([(i, t, "en", "a", 1) for i, t in rows], DOCS).repartition(3)
+    kept = corpus_pipeline.near_duplicates(spark, table, SF_DIR).collect()
+    assert len(kept) == 4
+    assert {(r.doc_id, r.text) for r in kept if r.doc_id != 8} == {(5, other), (None, clean), (9, "quite alone")}
+
+
+def test_mixing_takes_each_row_as_often_as_the_mix_does(spark):
+    from collections import Counter
+
+    from snaptrail.llm.mixing import mix
+
+    rows = [(i, f"{word} " * (4 + i), None, "a", 1) for i, word in enumerate(["x", "y"] * 60)]
+    rows += [(None, f"no{i} id " * 8, None, "b", 1) for i in range(20)] + [(1, "same row " * 4, None, "b", 1)] * 9
+    table = spark.createDataFrame(rows, DOCS).repartition(3)
+    found = Counter((r.doc_id, len(r.text.split())) for r in corpus_pipeline.mixed(spark, table, SF_DIR).collect())
+    expected = Counter()
+    for r in mix(table).collect():
+        expected[r.doc_id, r["size"]] += (2 * r.taken + r["size"]) // (2 * r["size"])
+    assert found == +expected
