@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snaptrail.llm.common import documents, first_by_hash
+from snaptrail.llm.common import documents, first_by_hash, stored
 from snaptrail.llm.ngrams import letters, ngram_buckets, texts
 
 SIZES = (1, 2, 3)
@@ -28,8 +28,13 @@ MAX_LANGUAGES = 200
 
 CENTROIDS = 4
 
-# A text is rejected when its cosine is below this share of the smallest one of a training document.
-REJECT_SHARE = 0.2
+# A text is rejected when its cosine is below this share of a low quantile of those that training texts of its
+# language have, cut to its length: to the largest of LENGTHS, in bytes of letters and spaces, up to it.
+REJECT_SHARE = 0.8
+REJECT_QUANTILE = 0.01
+LENGTHS = np.array([4, 8, 16, 32, 64, 128, 256, 512])
+
+HAS_LETTER = r"\p{L}"
 
 UNDETERMINED = "und"
 
@@ -40,12 +45,19 @@ class LanguageModel:
     idf: np.ndarray
     centroids: np.ndarray
     owner: np.ndarray
-    reject_below: float
+    # Of each language, for each of LENGTHS.
+    reject_below: np.ndarray
 
     def cosines(self, counts: np.ndarray) -> np.ndarray:
         """Rows of n-gram counts against the columns of centroids."""
         return tf_idf(counts, self.idf) @ self.centroids.T
 
+    def nearest(self, text: np.ndarray) -> tuple[int, float]:
+        """Language and cosine of the centroid nearest to a text."""
+        cosines = self.cosines(ngram_counts(text))
+        best = int(np.argmax(cosines))
+        return int(self.owner[best]), float(np.clip(cosines[best], 0, 1))
+
 
 def ngram_counts(text: np.ndarray) -> np.ndarray:
     return np.bincount(ngram_buckets(letters(text), SIZES, BITS), minlength=1 << BITS).astype(np.float32)
@@ -71,19 +83,20 @@ def clusters(vectors: np.ndarray, k: int, rounds: int = 15) -> np.ndarray:
 
 
 def fit(docs: DataFrame, lang_col: str = "lang", per_language: int = TRAINING_PER_LANGUAGE) -> LanguageModel | None:
-    """Learn from the text and non-null language of ``docs``; None if there is no such row.
+    """Learn from texts with a letter and a non-null language; None if there is no such row.
 
     Of a language with more than ``per_language`` ids, those with the smallest hashes are taken. An id that
     repeats with another language counts for the smallest, and with another text for that with the smallest
     hash. More than MAX_LANGUAGES languages are an error.
     """
+    docs = docs.where(F.col("text").rlike(HAS_LETTER))
     named = docs.select("doc_id", F.col(lang_col).alias("lang")).where("lang IS NOT NULL AND doc_id IS NOT NULL")
     named = named.groupBy("doc_id").agg(F.min("lang").alias("lang"))
     if named.select("lang").distinct().limit(MAX_LANGUAGES + 1).count() > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     chosen = first_by_hash(named, "lang", per_language)
     training = documents(docs).join(F.broadcast(chosen.select("doc_id", "lang")), "doc_id")
-    training = training.groupBy("doc_id", "lang").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    training = stored(training.groupBy("doc_id", "lang").agg(F.min_by("text", F.xxhash64("text")).alias("text")))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -106,8 +119,32 @@ def fit(docs: DataFrame, lang_col: str = "lang", per_language: int = TRAINING_PE
         centroids.append(found)
         owner += [place] * len(found)
     centroids = np.vstack(centroids).astype(np.float32)
-    nearest = (vectors @ centroids.T).max(axis=1)
-    return LanguageModel(languages, idf, centroids, np.array(owner), REJECT_SHARE * float(nearest.min()))
+    model = LanguageModel(languages, idf, centroids, np.array(owner), np.zeros((len(languages), len(LENGTHS))))
+    model.reject_below = _bounds(training, model)
+    return model
+
+
+def _bounds(training: DataFrame, model: LanguageModel) -> np.ndarray:
+    """The cosine below which a text is rejected, of each language and each of LENGTHS."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for text in texts(batch["text"]):
+                text = letters(text)
+                found += [(size, *model.nearest(text[:n])) for size, n in enumerate(LENGTHS) if n <= len(text)]
+            arrays = [pa.array([row[i] for row in found], kind) for i, kind in enumerate((pa.int64(), pa.int64(), pa.float64()))]
+            yield pa.RecordBatch.from_arrays(arrays, ["size", "language", "cosine"])
+
+    table = training.select("text").mapInArrow(cut, "size long, language long, cosine double").toArrow()
+    size, language, cosine = (table[c].to_numpy() for c in ("size", "language", "cosine"))
+    bounds = np.zeros((len(model.languages), len(LENGTHS)))
+    for i in range(len(model.languages)):
+        for k in range(len(LENGTHS)):
+            own = cosine[(language == i) & (size == k)]
+            # Of a length that no training text has, the bound is that of the one before.
+            bounds[i, k] = REJECT_SHARE * np.quantile(own, REJECT_QUANTILE) if len(own) else bounds[i, max(k - 1, 0)]
+    return bounds
 
 
 def predict(
@@ -124,25 +161,23 @@ def predict(
 
     def predicted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            langs, scores = [], []
+            langs, scores, far = [], [], []
             for text, has_letter in zip(texts(batch["text"]), batch["has_letter"].to_pylist()):
                 if not has_letter or model is None:
                     langs.append(UNDETERMINED)
                     scores.append(0.0)
+                    far.append(True)
                     continue
-                cosines = model.cosines(ngram_counts(text))
-                best = int(np.argmax(cosines))
-                langs.append(model.languages[model.owner[best]])
-                scores.append(float(np.clip(cosines[best], 0, 1)))
+                lang, score = model.nearest(text)
+                size = max(0, int(np.searchsorted(LENGTHS, len(letters(text)), side="right")) - 1)
+                langs.append(model.languages[lang])
+                scores.append(score)
+                far.append(score < float(model.reject_below[lang, size]))
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
-                ["doc_id", "lang_pred", "score"],
+                [batch["doc_id"], pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(far, pa.bool_())],
+                ["doc_id", "lang_pred", "score", "rejected"],
             )
 
-    rows = documents(docs, id_col, text_col).withColumn("has_letter", F.col("text").rlike(r"\p{L}"))
+    rows = documents(docs, id_col, text_col).withColumn("has_letter", F.col("text").rlike(HAS_LETTER))
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    result = rows.mapInArrow(predicted, f"doc_id {id_type}, lang_pred string, score double")
-    reject_below = model.reject_below if model else 0.0
-    return result.withColumn(
-        "rejected", (F.col("lang_pred") == UNDETERMINED) | (F.col("score") < F.lit(reject_below))
-    )
+    return rows.mapInArrow(predicted, f"doc_id {id_type}, lang_pred string, score double, rejected boolean")

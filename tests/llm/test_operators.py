@@ -492,3 +492,19 @@ def test_language_id_learns_rejects_and_handles_edge_cases(spark, edge):
     assert len(language_id.predict(edge, model).collect()) == len(EDGE_TEXTS)
     assert language_id.fit(table.where("lang IS NULL")) is None
     assert {row.lang_pred for row in language_id.predict(edge, None).collect()} == {"und"}
+
+
+def test_language_id_rejects_a_language_left_out_of_the_fit_despite_odd_rows(spark):
+    random.seed(10)
+    syllables = {"xx": ["ka", "to", "mi", "ru"], "yy": ["schl", "ung", "ing", "eit"], "left": ["gwy", "fod", "ddo", "pwl"]}
+    docs = []
+    for i in range(450):
+        lang = ("xx", "yy", "left")[i % 3]
+        docs.append((i, " ".join("".join(random.choices(syllables[lang], k=3)) for _ in range(random.randint(10, 80))), lang))
+    odd = [(1000, "q", "xx"), (1001, "?? 12", "xx"), (1002, None, "yy"), (1003, "vw", "yy")]
+    table = spark.createDataFrame(docs + odd, "doc_id long, text string, lang string")
+    model = language_id.fit(table.where("lang <> 'left' AND (doc_id % 2 = 0 OR doc_id >= 1000)"))
+    rows = {row.doc_id: row for row in language_id.predict(table, model).collect()}
+    rejected = {lang: [rows[i].rejected for i, _, own in docs if own == lang] for lang in syllables}
+    assert sum(rejected["left"]) > 0.95 * len(rejected["left"])
+    assert sum(rejected["xx"] + rejected["yy"]) < 0.02 * 300
