@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from snaptrail.llm.common import cut_lineage
 
+# Links that one task connects, of a group or of a part of its links.
+TASK_LINKS = 50_000
+
 
 def components(edges: DataFrame) -> DataFrame:
     """node, component (smallest node that can be reached) for every node of ``edges`` (a, b).
@@ -49,21 +52,61 @@ def _renamed(table: DataFrame, column: str, roots: DataFrame) -> DataFrame:
     return joined.select(*table.columns)
 
 
-def components_within(edges: DataFrame, group: str) -> DataFrame:
-    """The same for edges that lie inside groups of a bounded size, each in a task of its own."""
+def components_within(edges: DataFrame, group: str, task_links: int = TASK_LINKS) -> DataFrame:
+    """The same for edges that lie inside groups; no task gets the links of a group with more than ``task_links``.
+
+    Links of a larger group are dealt into parts, each of which leaves a spanning forest, again and again
+    while that at least halves them. Groups that are too large even then take rounds of joins.
+    """
 
     def connected(table: pa.Table) -> pa.Table:
-        nodes, ends = np.unique(np.concatenate([table["a"].to_numpy(), table["b"].to_numpy()]), return_inverse=True)
-        root = list(range(len(nodes)))
+        nodes, root, _ = _united(table)
+        return pa.table({"node": nodes, "component": nodes[root]})
 
-        def find(i: int) -> int:
-            while root[i] != i:
-                root[i] = i = root[root[i]]
-            return i
+    def spanning(table: pa.Table) -> pa.Table:
+        return table.select([group, "a", "b"]).take(pa.array(_united(table)[2], pa.int64()))
 
-        for a, b in ends.reshape(2, -1).T.tolist():
-            low, high = sorted((find(a), find(b)))
+    edges = cut_lineage(edges.select(group, "a", "b"))
+    kind = edges.schema[group].dataType.simpleString()
+    small, before = [], None
+    while True:
+        counts = edges.groupBy(F.col(group).alias("_group")).agg(F.count("*").alias("_links"))
+        large = cut_lineage(counts.where(F.col("_links") > task_links))
+        total = large.agg(F.sum("_links")).first()[0]
+        if not total:
+            small.append(edges)
+            break
+        within = edges.join(large, F.col(group) == F.col("_group"), "left_anti")
+        small.append(within)
+        edges = edges.join(large, F.col(group) == F.col("_group"))
+        if before is not None and 2 * total > before:
+            found = components(edges)
+            break
+        before = total
+        parts = F.ceil(2 * F.col("_links") / task_links)
+        parted = edges.select(group, "a", "b", F.pmod(F.xxhash64("a", "b"), parts).alias("_part"))
+        parted = parted.groupBy(group, "_part").applyInArrow(spanning, f"{group} {kind}, a long, b long")
+        edges = cut_lineage(parted)
+    result = None if not total else found
+    for part in small:
+        part = part.groupBy(group).applyInArrow(connected, "node long, component long")
+        result = part if result is None else result.unionByName(part)
+    return result
+
+
+def _united(table: pa.Table) -> tuple[np.ndarray, list[int], list[int]]:
+    """Nodes in order, the place of each one's smallest reachable node, and the links that united two."""
+    nodes, ends = np.unique(np.concatenate([table["a"].to_numpy(), table["b"].to_numpy()]), return_inverse=True)
+    root, used = list(range(len(nodes))), []
+
+    def find(i: int) -> int:
+        while root[i] != i:
+            root[i] = i = root[root[i]]
+        return i
+
+    for place, (a, b) in enumerate(ends.reshape(2, -1).T.tolist()):
+        low, high = sorted((find(a), find(b)))
+        if low != high:
             root[high] = low
-        return pa.table({"node": nodes, "component": nodes[[find(i) for i in range(len(nodes))]]})
-
-    return edges.groupBy(group).applyInArrow(connected, "node long, component long")
+            used.append(place)
+    return nodes, [find(i) for i in range(len(nodes))], used

@@ -33,7 +33,7 @@ BAND_ROWS = 6
 # Nodes of a block; a task holds the sets of two blocks.
 BLOCK_NODES = 512
 
-# The links of coarse groups of up to so many blocks are connected in one task, by node ids alone.
+# The links of coarse groups of up to so many blocks are connected by node ids in few tasks, TASK_LINKS in each.
 GROUP_BLOCKS = 200
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)

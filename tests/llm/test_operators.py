@@ -399,6 +399,30 @@ def test_components_of_a_long_path_and_a_hub(spark):
     assert {found[i] for i in range(100, 161)} == {100} and {found[i] for i in range(200, 401)} == {7}
 
 
+def test_components_within_bound_the_links_of_a_task(spark, monkeypatch):
+    from snaptrail.llm import components as module
+
+    def dense(first, n):
+        return [(a, b) for a in range(first, first + n) for b in range(a + 1, first + n)]
+
+    path = [(i, i + 1) for i in range(1000, 1300)]
+    groups = {1: dense(0, 40), 2: path, 3: [(2000, 2001), (2002, 2003)], 4: dense(3000, 60) + dense(3100, 5)}
+    rows = [(g, a, b) for g, links in groups.items() for a, b in links]
+    table = spark.createDataFrame(rows, "grp long, a long, b long").repartition(4)
+    united = module._united
+
+    def bounded(links):
+        # Parts are dealt by hash, so that some get more than others.
+        assert len(links) <= 100, len(links)
+        return united(links)
+
+    monkeypatch.setattr(module, "_united", bounded)
+    found = {r.node: r.component for r in module.components_within(table, "grp", task_links=100).collect()}
+    expected = {i: 0 for i in range(40)} | {i: 1000 for i in range(1000, 1301)} | {2000: 2000, 2001: 2000, 2002: 2002, 2003: 2002}
+    expected |= {i: 3000 for i in range(3000, 3060)} | {i: 3100 for i in range(3100, 3105)}
+    assert found == expected
+
+
 def test_url_filter_rules_and_classifier(spark):
     rules = (("net/", "block"), ("example.net/en/", "allow"))
     urls = [
