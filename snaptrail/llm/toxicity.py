@@ -6,7 +6,8 @@ is its value, the vector is scaled to length 1, and a logistic regression is fit
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import tempfile
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -14,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snaptrail.llm.common import documents, first_by_hash
+from snaptrail.llm.common import documents, first_by_hash, stored
 from snaptrail.llm.ngrams import ngram_buckets, texts
 
 SIZES = (5, 7)
@@ -24,8 +25,11 @@ BITS = 18
 MIN_DOCUMENTS = 3
 
 # Labelled documents of each class that the classifier is fitted on, those with the smallest hashes.
-# Their features are all that reaches the driver: 2 * LABELLED_PER_CLASS rows of at most 2**BITS features.
-LABELLED_PER_CLASS = 1_000
+# Their features reach the driver in blocks, and lie there in a temporary file.
+LABELLED_PER_CLASS = 2_500
+
+# Features that the driver holds at once, or as many as one document has.
+BLOCK_FEATURES = 2_000_000
 
 
 @dataclass
@@ -74,44 +78,85 @@ def sample_features(docs: DataFrame, labels: DataFrame, per_class: int = LABELLE
     return labelled.mapInArrow(featurized, "doc_id long, toxic int, buckets array<int>, logs array<float>")
 
 
-def fit(docs: DataFrame, labels: DataFrame, per_class: int = LABELLED_PER_CLASS) -> ToxicityModel | None:
+def fit(
+    docs: DataFrame, labels: DataFrame, per_class: int = LABELLED_PER_CLASS, block_features: int = BLOCK_FEATURES
+) -> ToxicityModel | None:
     """Learn from ``labels`` (doc_id, toxic); None unless both classes are among the documents."""
     labels = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic"))
-    table = sample_features(documents(docs), labels, per_class).toArrow().combine_chunks().sort_by("doc_id")
-    toxic = table["toxic"].to_numpy() == 1
-    if toxic.all() or not toxic.any():
+    features = stored(sample_features(documents(docs), labels, per_class))
+    sizes = features.select("doc_id", "toxic", F.size("buckets").alias("size")).toArrow().combine_chunks().sort_by("doc_id")
+    if len(set(sizes["toxic"].to_pylist())) < 2:
         return None
-    lists = table["buckets"].combine_chunks()
-    buckets = lists.flatten().to_numpy()
-    rows = np.repeat(np.arange(len(toxic), dtype=np.int32), lists.value_lengths().to_numpy())
-    logs = table["logs"].combine_chunks().flatten().to_numpy()
-    counts = [
-        1 + np.bincount(buckets, logs * (toxic[rows] == side), minlength=1 << BITS) for side in (True, False)
-    ]
-    ratio = np.log(counts[0] / counts[0].sum()) - np.log(counts[1] / counts[1].sum())
-    ratio[np.bincount(buckets, minlength=1 << BITS) < MIN_DOCUMENTS] = 0
-    values = ratio.astype(np.float32)[buckets] * logs
-    del table, lists, logs
-    lengths = np.sqrt(np.bincount(rows, values**2, minlength=len(toxic)))
-    values /= np.maximum(lengths, 1e-12).astype(np.float32)[rows]
-    weight, bias = _logistic(rows, buckets, values, toxic.astype(float))
+    # Runs of ids of so many features in all, or of one document.
+    block = np.cumsum(sizes["size"].to_numpy()) // block_features
+    ids, toxic = sizes["doc_id"].to_numpy(), sizes["toxic"].to_numpy() == 1
+    starts = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
+    edges = [*starts.tolist(), len(ids)]
+    with tempfile.TemporaryFile() as file:
+        shapes, counts, documents_of = [], np.ones((2, 1 << BITS)), np.zeros(1 << BITS, np.int64)
+        for first, end in zip(edges[:-1], edges[1:]):
+            table = features.where(F.col("doc_id").between(int(ids[first]), int(ids[end - 1]))).toArrow()
+            table = table.combine_chunks().sort_by("doc_id")
+            lists = table["buckets"].combine_chunks()
+            rows = np.repeat(np.arange(first, end, dtype=np.int32), lists.value_lengths().to_numpy())
+            buckets, logs = lists.flatten().to_numpy(), table["logs"].combine_chunks().flatten().to_numpy()
+            for side in (0, 1):
+                of_side = toxic[rows] == (side == 0)
+                counts[side] += np.bincount(buckets[of_side], logs[of_side], minlength=1 << BITS)
+            documents_of += np.bincount(buckets, minlength=1 << BITS)
+            for column in (rows, buckets.astype(np.int32), logs.astype(np.float32)):
+                file.write(column.data)
+            shapes.append(len(rows))
+            del table, lists, rows, buckets, logs
+        ratio = np.log(counts[0] / counts[0].sum()) - np.log(counts[1] / counts[1].sum())
+        ratio[documents_of < MIN_DOCUMENTS] = 0
+        single = ratio.astype(np.float32)
+
+        def blocks() -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+            file.seek(0)
+            for n in shapes:
+                columns = np.frombuffer(file.read(12 * n), np.int32).reshape(3, n)
+                yield columns[0], columns[1], single[columns[1]] * columns[2].view(np.float32)
+
+        lengths = np.zeros(len(ids))
+        for rows, _, values in blocks():
+            lengths += np.bincount(rows, values**2, minlength=len(ids))
+        scale = 1 / np.maximum(np.sqrt(lengths), 1e-12).astype(np.float32)
+        weight, bias = _logistic(blocks, scale, toxic.astype(float))
     return ToxicityModel(ratio, weight, bias)
 
 
 def _logistic(
-    rows: np.ndarray, buckets: np.ndarray, values: np.ndarray, labels: np.ndarray, steps: int = 100, rate: float = 10.0
+    blocks: Callable[[], Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]],
+    scale: np.ndarray,
+    labels: np.ndarray,
+    steps: int = 100,
+    rate: float = 10.0,
 ) -> tuple[np.ndarray, float]:
     """Logistic regression by gradient steps with momentum; both classes weigh the same.
 
     A fixed number of plain steps favours features that many documents share, which rare ones need not.
+    ``blocks`` gives row, bucket and value of the features, whole documents in each; ``scale`` is the factor
+    of each document.
     """
     weight, bias, speed, bias_speed = np.zeros(1 << BITS), 0.0, np.zeros(1 << BITS), 0.0
     importance = np.where(labels == 1, 0.5 / labels.sum(), 0.5 / (1 - labels).sum())
     for _ in range(steps):
-        logits = np.bincount(rows, values * weight.astype(np.float32)[buckets], minlength=len(labels)) + bias
-        error = (1 / (1 + np.exp(-np.clip(logits, -30, 30))) - labels) * importance
-        speed = 0.9 * speed + np.bincount(buckets, values * error.astype(np.float32)[rows], minlength=1 << BITS)
-        bias_speed = 0.9 * bias_speed + error.sum()
+        single, gradient = weight.astype(np.float32), np.zeros(1 << BITS)
+        # A document without features has the bias as its logit.
+        errors = (1 / (1 + np.exp(-np.clip(bias, -30, 30))) - labels) * importance
+        for rows, buckets, values in blocks():
+            if not len(rows):
+                continue
+            own = slice(int(rows[0]), int(rows[-1]) + 1)
+            local = rows - rows[0]
+            sums = np.bincount(local, values * single[buckets], minlength=own.stop - own.start)
+            logits = sums * scale[own] + bias
+            errors[own] = (1 / (1 + np.exp(-np.clip(logits, -30, 30))) - labels[own]) * importance[own]
+            part = (errors[own] * scale[own]).astype(np.float32)
+            gradient += np.bincount(buckets, values * part[local], minlength=1 << BITS)
+        speed = 0.9 * speed + gradient
+        bias_speed = 0.9 * bias_speed + errors.sum()
         weight -= rate * speed
         bias -= 0.1 * rate * bias_speed
     return weight, bias

@@ -217,6 +217,18 @@ def test_toxicity_learns_and_handles_edge_cases(spark, edge):
     assert {row.score for row in toxicity.score(edge, None).collect()} == {0.0}
 
 
+def test_toxicity_fit_does_not_depend_on_its_blocks_and_takes_2500_of_each_class(spark):
+    random.seed(11)
+    words = ["".join(random.choices("abcdefghij", k=6)) for _ in range(60)]
+    docs = [(i, " ".join(random.choices(words[:40] if i % 3 else words[20:], k=random.randint(0, 60)))) for i in range(200)]
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i, _ in docs], "doc_id long, toxic int")
+    whole, parts = toxicity.fit(table, labels), toxicity.fit(table, labels, block_features=5_000)
+    assert np.allclose(whole.ratio, parts.ratio, atol=1e-6) and np.allclose(whole.weight, parts.weight, rtol=1e-3, atol=1e-3)
+    many = spark.range(2 * 2_600).selectExpr("id AS doc_id", "'some text' AS text", "CAST(id % 2 AS INT) AS toxic")
+    assert toxicity.sample_features(many.select("doc_id", "text"), many.select("doc_id", "toxic")).count() == 2 * 2_500
+
+
 def brute_contamination(docs, items, size=10):
     def words(text):
         return re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", (text or "").translate(LOWER))
