@@ -17,6 +17,7 @@ from snaptrail.llm.exact_dedup import exact_groups
 from snaptrail.llm.mixing import mix
 from snaptrail.llm.near_dedup import near_groups
 from snaptrail.llm.preferences import format_pairs, swapped_replies
+from snaptrail.llm.prefix_trie import prefix_nodes, shared_starts, turn_ids
 from snaptrail.llm.repeats import remove_repeats
 from snaptrail.llm.url_filter import filter_urls
 
@@ -35,6 +36,7 @@ def queries() -> dict[str, Query]:
         "op8_url_filter": _url_filter,
         "op9_mix_sources": _mix_sources,
         "op10_language_id": _language_id,
+        "op13_prefix_trie": _prefix_trie,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -147,3 +149,8 @@ def _repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = remove_repeats(table(spark, sf_dir, "documents"))
     spans = F.size("spans").cast("long").alias("n_spans")
     return cleaned.select("doc_id", "n_bytes", "n_removed", spans, F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def _prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nodes = prefix_nodes(shared_starts(turn_ids(table(spark, sf_dir, "conversations"))))
+    return nodes.withColumnRenamed("saved", "saved_tokens")
