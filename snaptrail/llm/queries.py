@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from snaptrail.llm import language_id, token_files, toxicity
+from snaptrail.llm import language_id, token_files, toxicity, whitening
 from snaptrail.llm.common import UPPER, held_out, shared_folder, table
 from snaptrail.llm.decontamination import contamination
 from snaptrail.llm.exact_dedup import exact_groups
@@ -36,6 +36,7 @@ def queries() -> dict[str, Query]:
         "op8_url_filter": _url_filter,
         "op9_mix_sources": _mix_sources,
         "op10_language_id": _language_id,
+        "op12_whitening": _whitening,
         "op13_prefix_trie": _prefix_trie,
         "pipeline": corpus_pipeline.run,
     }
@@ -154,3 +155,9 @@ def _repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     nodes = prefix_nodes(shared_starts(turn_ids(table(spark, sf_dir, "conversations"))))
     return nodes.withColumnRenamed("saved", "saved_tokens")
+
+
+def _whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    rows = whitening.whiten(vectors, whitening.fit(vectors))
+    return rows.withColumn("deviation", F.expr("try_cast(deviation AS BIGINT)"))
