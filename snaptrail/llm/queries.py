@@ -18,6 +18,7 @@ from snaptrail.llm.mixing import mix
 from snaptrail.llm.near_dedup import near_groups
 from snaptrail.llm.preferences import format_pairs, swapped_replies
 from snaptrail.llm.prefix_trie import prefix_nodes, shared_starts, turn_ids
+from snaptrail.llm.relative_lz import remove_duplicate_spans
 from snaptrail.llm.repeats import remove_repeats
 from snaptrail.llm.url_filter import filter_urls
 
@@ -36,6 +37,7 @@ def queries() -> dict[str, Query]:
         "op8_url_filter": _url_filter,
         "op9_mix_sources": _mix_sources,
         "op10_language_id": _language_id,
+        "op11_duplicate_spans": _duplicate_spans,
         "op12_whitening": _whitening,
         "op13_prefix_trie": _prefix_trie,
         "pipeline": corpus_pipeline.run,
@@ -161,3 +163,10 @@ def _whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     rows = whitening.whiten(vectors, whitening.fit(vectors))
     return rows.withColumn("deviation", F.expr("try_cast(deviation AS BIGINT)"))
+
+
+def _duplicate_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = remove_duplicate_spans(table(spark, sf_dir, "documents"))
+    kept = F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
+    factors = F.size("factors").cast("long").alias("n_factors")
+    return cleaned.select("doc_id", "n_words", "n_removed", kept, factors)

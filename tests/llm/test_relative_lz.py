@@ -1,0 +1,112 @@
+"""Duplicate word spans against windows that are looked up one by one."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+
+import numpy as np
+import pytest
+
+from snaptrail.llm import queries as llm
+from snaptrail.llm.relative_lz import greedy, remove_duplicate_spans
+from tests.llm.test_operators import EDGE_TEXTS, edge  # noqa: F401
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def brute(docs, window):
+    """By key, in the order of keys: words, and which of them are removed."""
+    seen, result = set(), {}
+    for key, text in sorted(docs):
+        words = re.findall("[^\x20\x09-\x0d]+", text or "")
+        hit = [False] * len(words)
+        for i in range(len(words) - window + 1):
+            found = tuple(words[i : i + window])
+            if found in seen:
+                hit[i : i + window] = [True] * window
+            seen.add(found)
+        result[key] = (words, hit)
+    return result
+
+
+def check(rows, expected, by_key):
+    texts = {key: words for key, (words, _) in expected.items()}
+    for row in rows:
+        words, hit = expected[by_key(row)]
+        assert (row.n_words, row.n_removed) == (len(words), sum(hit))
+        assert row.kept == " ".join(w for w, h in zip(words, hit) if not h)
+        covered = [False] * len(words)
+        for f in row.factors:
+            assert not any(covered[f.start : f.end]) and f.end > f.start
+            covered[f.start : f.end] = [True] * (f.end - f.start)
+            # The place of the reference has the same words, and is an earlier one.
+            assert texts[f.source][f.source_start : f.source_start + f.end - f.start] == words[f.start : f.end]
+            assert (f.source, f.source_start) < (row.doc_id, f.start)
+        assert covered == hit
+
+
+@pytest.mark.parametrize("window, gram, block", [(4, 2, 1), (6, 3, 400), (20, 5, 1 << 20), (5, 5, 3000), (3, 1, 100)])
+def test_spans_equal_brute_force(spark, window, gram, block):
+    random.seed(window)
+    passages = [[random.choice("abcdef") for _ in range(random.randint(5, 60))] for _ in range(8)]
+    docs = []
+    for i in range(150):
+        words = [random.choice(["x", "y", "é", f"w{random.randrange(400)}"]) for _ in range(random.randint(0, 50))]
+        for _ in range(random.randrange(3)):
+            part = random.choice(passages)
+            at = random.randint(0, len(words))
+            words[at:at] = part[random.randrange(3) :]
+        docs.append((i * 7 % 150, random.choice([" ", "\n", " \t "]).join(words)))
+    docs += [(200 + i, docs[0][1]) for i in range(20)] + [(300, "a " * 500), (301, "a " * 90 + "b")]
+    table = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    rows = remove_duplicate_spans(table, window=window, gram=gram, block_bytes=block).collect()
+    assert len(rows) == len(docs)
+    check(rows, brute(docs, window), lambda row: row.doc_id)
+
+
+def test_edges(spark, edge):  # noqa: F811
+    """Nulls, repeated rows and ids, rows without an id, long texts, clashing columns, empty tables, other id types."""
+    rows = remove_duplicate_spans(edge, window=4, gram=2).collect()
+    docs = {((i is not None, i or 0), hashlib.sha256((t or "").encode()).hexdigest()): t for i, t in EDGE_TEXTS}
+    expected = brute([(key, text) for key, text in docs.items()], 4)
+    found = sorted((r.doc_id is not None, r.doc_id or 0, r.n_words, r.n_removed, r.kept) for r in rows)
+    assert found == sorted(
+        (*key[0], len(words), sum(hit), " ".join(w for w, h in zip(words, hit) if not h))
+        for i, t in EDGE_TEXTS
+        for key in [((i is not None, i or 0), hashlib.sha256((t or "").encode()).hexdigest())]
+        for words, hit in [expected[key]]
+    )
+    assert remove_duplicate_spans(edge.limit(0)).collect() == []
+    long = " ".join(f"w{i}" for i in range(30))
+    twice = [("b", long), ("a", "x " + long), ("a", "x " + long), (None, long + " y"), (None, long + " y"), ("c", None)]
+    table = spark.createDataFrame(twice, "name string, body string").repartition(3)
+    rows = remove_duplicate_spans(table, "name", "body").collect()
+    assert sorted((r.doc_id or "", r.n_removed, r.kept) for r in rows) == [
+        ("", 0, long + " y"),
+        ("", 0, long + " y"),
+        ("a", 30, "x"),
+        ("a", 30, "x"),
+        ("b", 30, ""),
+        ("c", 0, ""),
+    ]
+
+
+def test_greedy_takes_what_reaches_farthest():
+    matches = [(0, 5, 0, 10), (2, 9, 1, 20), (2, 4, 2, 0), (9, 12, 3, 0), (20, 30, 4, 1), (21, 25, 5, 0)]
+    found = greedy(*(np.array(c) for c in zip(*matches)))
+    assert found == [(0, 5, 0, 10), (5, 9, 1, 23), (9, 12, 3, 0), (20, 30, 4, 1)]
+    assert greedy(*(np.zeros(0, np.int64),) * 4) == []
+
+
+def test_query_equals_brute_force(spark):
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()]
+    expected = brute(docs, 20)
+    result = llm.queries()["op11_duplicate_spans"](spark, SF_DIR)
+    assert result.dtypes[:4] == [("doc_id", "bigint"), ("n_words", "bigint"), ("n_removed", "bigint"), ("kept_sha256", "string")]
+    found = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in result.collect()}
+    assert any(removed for _, removed, _ in found.values())
+    for key, (words, hit) in expected.items():
+        kept = " ".join(w for w, h in zip(words, hit) if not h)
+        assert found[key] == (len(words), sum(hit), hashlib.sha256(kept.encode()).hexdigest())
