@@ -71,31 +71,56 @@ def newly_enabled_previews(
     their rows go before anything is ranked.
     """
 
-    def previews(rows: DataFrame) -> DataFrame:
-        return rows.where(is_preview(F.col(layout.phase))).select(
-            F.col(layout.name).alias("setting_name"),
-            layout.workspace_key().alias("workspace"),
-            F.col(layout.run).alias("_run"),
-            F.col(layout.value).alias("_observed"),
-        )
-
-    observed = previews(history)
+    observed = preview_observations(history, layout)
     if only_latest_run:
-        seen = previews(latest_rows(history, layout)).select("setting_name", "workspace").distinct()
+        seen = preview_observations(latest_rows(history, layout), layout).select("setting_name", "workspace").distinct()
         observed = observed.join(seen, ["setting_name", "workspace"], "left_semi")
+    return just_enabled(last_two(observed))
+
+
+def preview_observations(rows: DataFrame, layout: Layout = Layout()) -> DataFrame:
+    """setting_name, workspace, run and observed value of rows whose setting was a preview."""
+    return rows.where(is_preview(F.col(layout.phase))).select(
+        F.col(layout.name).alias("setting_name"),
+        layout.workspace_key().alias("workspace"),
+        F.col(layout.run).alias("run"),
+        F.col(layout.value).alias("observed"),
+    )
+
+
+def last_two(observed: DataFrame) -> DataFrame:
+    """One row per series with its ``observations`` (run, observed): the last two, the last one first.
+
+    What is left of parts of a history can be brought together: the last two of several such tables,
+    taken apart by :func:`observations`, are those of all their rows.
+    """
     newest_first = Window.partitionBy("setting_name", "workspace").orderBy(
-        F.desc("_run"), F.desc_nulls_last("_observed")
+        F.desc("run"), F.desc_nulls_last("observed")
     )
     # Each task passes on two rows per series at most (window group limit), however long it is.
-    last_two = observed.withColumn("_age", F.row_number().over(newest_first)).where("_age <= 2")
+    ranked = observed.withColumn("_age", F.row_number().over(newest_first)).where("_age <= 2")
+
+    def at(age: int) -> Column:
+        return F.max(F.when(F.col("_age") == age, F.struct("run", "observed")))
+
+    pairs = ranked.groupBy("setting_name", "workspace").agg(F.array_compact(F.array(at(1), at(2))).alias("observations"))
+    return pairs
 
-    def at(age: int, column: str) -> Column:
-        return F.max(F.when(F.col("_age") == age, F.col(column)))
 
-    pairs = last_two.groupBy("setting_name", "workspace").agg(
-        at(1, "_run").alias("last_run"),
-        at(1, "_observed").alias("current_value"),
-        at(2, "_observed").alias("previous_value"),
+def observations(last: DataFrame) -> DataFrame:
+    """The rows that :func:`last_two` was made of, as far as it kept them."""
+    return last.select("setting_name", "workspace", F.inline("observations"))
+
+
+def just_enabled(last: DataFrame) -> DataFrame:
+    """Series that are on in their last observation and were not in the one before."""
+    now, before = (F.get("observations", age)["observed"] for age in (0, 1))
+    pairs = last.select(
+        "setting_name",
+        "workspace",
+        F.get("observations", 0)["run"].alias("last_run"),
+        now.alias("current_value"),
+        before.alias("previous_value"),
     )
     return pairs.where(is_on(F.col("current_value")) & ~is_on(F.col("previous_value")))
 

@@ -24,6 +24,17 @@ from snaptrail.operators.runs import (
     with_neighbours,
 )
 
+COLUMNS = (
+    "change_date",
+    "setting_name",
+    "workspace_name",
+    "category",
+    "change_type",
+    "previous_value",
+    "new_value",
+    "detected_at",
+)
+
 _SERIES = ("setting_name", "_workspace")
 
 
@@ -42,9 +53,10 @@ def drift(
     ``runs`` may give the run times where they are known without reading the history. Without
     ``category_map`` the category is NULL.
     """
-    times = history if runs is None else runs
+    if runs is None:
+        runs = history if layout.known_runs is None else layout.known_runs.table
     rows = _observations(history, layout)
-    placed = with_neighbours(rows, times, layout.run, small_timeline_bytes, broadcast_bytes)
+    placed = with_neighbours(rows, runs, layout.run, small_timeline_bytes, broadcast_bytes)
     own_cell = F.when(~F.col("is_first"), F.col(layout.run))
     sides = placed.withColumn("_current", F.explode(F.array(F.lit(True), F.lit(False)))).withColumn(
         "detected_at", F.when(F.col("_current"), own_cell).otherwise(F.col("next_run"))
@@ -105,25 +117,31 @@ def _changes(
     changed = cells.withColumn(
         "change_type", values.change_type(F.col("_previous"), F.col("_value"))
     ).where(F.col("change_type").isNotNull())
-    if category_map is None:
-        changed = changed.withColumn("category", F.lit(None).cast("string"))
-    else:
-        changed = lookup(
-            changed,
-            current_category(category_map, labels_version),
-            "setting_name",
-            broadcast_bytes,
-            bound=category_map.select("setting_name", "category"),
-            # A setting has at most two changes per observation; counting these needs one column.
-            keys=rows.select("setting_name"),
-        )
-    return changed.select(
+    found = changed.select(
         values.utc_date(changed, "detected_at").alias("change_date"),
         "setting_name",
         F.coalesce("_label", "_previous_label").alias("workspace_name"),
-        "category",
         "change_type",
         F.col("_previous").alias("previous_value"),
         F.col("_value").alias("new_value"),
         "detected_at",
     )
+    # A setting has at most two changes per observation; counting these needs one column.
+    return categorized(found, category_map, labels_version, broadcast_bytes, rows.select("setting_name"))
+
+
+def categorized(
+    changes: DataFrame,
+    category_map: DataFrame | None,
+    labels_version: str | None = None,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    keys: DataFrame | None = None,
+) -> DataFrame:
+    """Changes with the map's current ``category``, NULL without a map."""
+    if category_map is None:
+        found = changes.withColumn("category", F.lit(None).cast("string"))
+    else:
+        side = current_category(category_map, labels_version)
+        bound = category_map.select("setting_name", "category")
+        found = lookup(changes, side, "setting_name", broadcast_bytes, bound, keys)
+    return found.select(*COLUMNS)

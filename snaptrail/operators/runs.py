@@ -13,12 +13,16 @@ SMALL_TIMELINE_BYTES = 12 * 1024 * 1024
 
 
 def latest_run(history: DataFrame, layout: Layout = Layout()) -> Column:
-    """The newest run of the whole history, as a scalar subquery."""
+    """The newest run of the whole history: a literal where runs are known, else a scalar subquery."""
+    if layout.known_runs is not None:
+        return layout.known_runs.run(0)
     return recent(history, 1, layout).agg(F.max(layout.run)).scalar()
 
 
 def previous_run(history: DataFrame, layout: Layout = Layout()) -> Column:
-    """The newest run before the latest one, as a scalar subquery; NULL when there is none."""
+    """The newest run before the latest one, in the same form; NULL when there is none."""
+    if layout.known_runs is not None:
+        return layout.known_runs.run(1)
     earlier = recent(history, 2, layout).where(F.col(layout.run) < latest_run(history, layout))
     return earlier.agg(F.max(layout.run)).scalar()
 
@@ -39,6 +43,8 @@ def rows_since(history: DataFrame, first: Column, within: int, layout: Layout =
 
 def newest_runs(history: DataFrame, count: int, layout: Layout = Layout()) -> DataFrame:
     """The ``count`` newest distinct runs, in one column."""
+    if layout.known_runs is not None:
+        return _newest(layout.known_runs.table, layout.run, count)
     return _newest(recent(history, count, layout), layout.run, count)
 
 
@@ -50,7 +56,11 @@ def recent(history: DataFrame, count: int, layout: Layout = Layout()) -> DataFra
     """
     if layout.run_partition is None:
         return history
-    oldest_needed = _newest(history, layout.run_partition, count).agg(F.min(layout.run_partition)).scalar()
+    known = layout.known_runs
+    if known is not None and known.newest and (known.all_of_them or count <= len(known.newest)):
+        return history.where(F.col(layout.run_partition) >= known.newest[: max(count, 1)][-1][1])
+    times = history if known is None else known.table
+    oldest_needed = _newest(times, layout.run_partition, count).agg(F.min(layout.run_partition)).scalar()
     return history.where(F.col(layout.run_partition) >= oldest_needed)
 
 

@@ -55,7 +55,10 @@ def consistency_sorted(consistency: DataFrame) -> DataFrame:
 
 
 def collection_history(history: DataFrame, layout: Layout = Layout(), runs: int = HISTORY_RUNS) -> DataFrame:
-    """Rows and workspaces of the newest runs. Only those runs are read in full."""
+    """Rows and workspaces of the newest runs. Only those runs are read in full, and none if they are known."""
+    if layout.known_runs is not None:
+        counted = layout.known_runs.table.select(layout.run, "settings_count", "workspaces")
+        return counted.orderBy(F.desc(layout.run)).limit(runs)
     oldest = newest_runs(history, runs, layout).agg(F.min(layout.run)).scalar()
     return (
         rows_since(history, oldest, runs, layout)
