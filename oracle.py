@@ -156,7 +156,8 @@ def statements() -> dict[str, str]:
         "append_evolve": _sql(
             _HISTORY,
             """SELECT *, CASE WHEN collected_at = (SELECT max(collected_at) FROM history)
-                 THEN CAST(collected_at AS DATE) END AS deprecated_on, CAST(collected_at AS DATE) AS collected_on
+                 THEN CAST(collected_at AS DATE) END AS deprecated_on, CAST(collected_at AS DATE) AS collected_on,
+                 epoch_us(collected_at) AS run_key
                FROM history""",
         ),
         "dry_run": _sql(
@@ -198,9 +199,20 @@ def statements() -> dict[str, str]:
             _DRIFT, "SELECT * FROM drift WHERE detected_at = (SELECT max(collected_at) FROM history)"
         ),
         # the same over a stored history
-        "stored_latest": _sql(_LATEST, "SELECT *, CAST(collected_at AS DATE) AS collected_on FROM latest"),
+        "stored_latest": _sql(_LATEST, "SELECT *, CAST(collected_at AS DATE) AS collected_on, epoch_us(collected_at) AS run_key FROM latest"),
         "stored_consistency": _sql(_CONSISTENCY, "SELECT * FROM consistency"),
         "stored_drift": _sql(_DRIFT, "SELECT * FROM drift"),
+        "stored_alert_drift": _sql(
+            _DRIFT,
+            """SELECT count(*) AS drift_count, count(*) > 0 AS triggered
+               FROM drift WHERE detected_at = (SELECT max(collected_at) FROM history)""",
+        ),
+        "stored_new_previews": _sql((HISTORY, ENABLED), "SELECT * FROM enabled"),
+        "stored_collection_history": _sql(
+            _HISTORY,
+            """SELECT collected_at, count(*) AS settings_count, count(DISTINCT workspace_id) AS workspaces
+               FROM history GROUP BY collected_at ORDER BY collected_at DESC LIMIT 10""",
+        ),
         # alerts
         "alert_drift": _sql(
             _DRIFT,

@@ -12,6 +12,7 @@ from snaptrail.functions.values import label_names
 from snaptrail.operators import categories, ingest
 from snaptrail.plans.views import register_views
 from snaptrail.sources import tables
+from snaptrail.sources.run_store import PathStore
 
 logger = logging.getLogger(__name__)
 
@@ -36,7 +37,7 @@ def build_snapshot(
 
 def collect(
     rows: DataFrame,
-    store: tables.PathStore | tables.CatalogStore,
+    store: PathStore | tables.CatalogStore,
     classifier: categories.Classifier,
     classified_at: Column,
     labels: Iterable[str] | str = DEFAULT_LABELS,
@@ -71,5 +72,5 @@ def collect(
         rows = rows.withColumn("category", F.lit(None).cast("string"))
     store.append_history(rows)
     history = store.history(spark)
-    register_views(history, store.categories(spark), tables.STORED_HISTORY)
+    register_views(history, store.categories(spark), store.layout(spark))
     return history

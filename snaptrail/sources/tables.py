@@ -71,26 +71,6 @@ def newest_entries(stored: DataFrame) -> DataFrame:
     return stored.withColumn("_rank", F.row_number().over(newest)).where("_rank = 1").drop("_rank")
 
 
-@dataclass(frozen=True)
-class PathStore:
-    """History and category map as two folders of Parquet files."""
-
-    history_path: str
-    map_path: str
-
-    def append_history(self, rows: DataFrame) -> None:
-        append_snapshot(rows, self.history_path)
-
-    def history(self, spark: SparkSession) -> DataFrame:
-        return read_history(spark, self.history_path)
-
-    def append_categories(self, updates: DataFrame) -> None:
-        append_categories(updates, self.map_path)
-
-    def categories(self, spark: SparkSession) -> DataFrame:
-        return read_categories(spark, self.map_path)
-
-
 @dataclass(frozen=True)
 class CatalogStore:
     """History and category map as two catalog tables, created when first used."""
@@ -105,6 +85,9 @@ class CatalogStore:
         create_history_table(spark, self.history_table)
         return spark.table(self.history_table)
 
+    def layout(self, spark: SparkSession) -> Layout:
+        return STORED_HISTORY
+
     def append_categories(self, updates: DataFrame) -> None:
         create_category_table(updates.sparkSession, self.map_table)
         _append_to_table(updates, self.map_table)

@@ -9,6 +9,7 @@ from snaptrail.operators import ingest
 from snaptrail.plans.collect import build_snapshot, collect
 from snaptrail.plans.views import create_catalog_views, register_views
 from snaptrail.sources import tables
+from snaptrail.sources.run_store import PathStore
 from tests.histories import category_map, day, history
 
 PAYLOADS = "setting_name STRING, payload STRING, read_failed BOOLEAN, setting_type STRING, preview_phase STRING, description STRING"
@@ -39,7 +40,7 @@ def run(spark, number, store, value="true", labels="a, b", classifier=first_labe
 
 @pytest.fixture
 def paths(tmp_path):
-    return tables.PathStore(f"{tmp_path}/history", f"{tmp_path}/map")
+    return PathStore(f"{tmp_path}/history", f"{tmp_path}/map")
 
 
 @pytest.fixture
@@ -216,7 +217,7 @@ def test_blank_labels_are_none(spark, paths, labels):
 
 def test_storage_failures_are_raised(spark, tmp_path):
     (tmp_path / "file").write_text("")
-    broken = tables.PathStore(f"{tmp_path}/history", f"{tmp_path}/file/map")
+    broken = PathStore(f"{tmp_path}/history", f"{tmp_path}/file/map")
     with pytest.raises(Exception):
         run(spark, 1, broken)
     assert not (tmp_path / "history").exists()
