@@ -38,7 +38,7 @@ from pyspark.sql.types import (
 )
 
 from snaptrail.functions.values import utc_date
-from snaptrail.layout import CATEGORY_MAP_SCHEMA, HISTORY_SCHEMA, KnownRuns, Layout
+from snaptrail.layout import HISTORY_SCHEMA, KnownRuns, Layout
 from snaptrail.operators import alerts
 from snaptrail.operators.drift import categorized, drift
 from snaptrail.sources import tables
@@ -53,7 +53,8 @@ LITERAL_RUNS = 10
 # States of previews that are kept, to store the newest runs again without reading older ones.
 STATES_KEPT = 3
 
-_RUNS_SCHEMA = f"{RUN_KEY} BIGINT, settings_count BIGINT, workspaces BIGINT, stored_at TIMESTAMP"
+_COUNTS_SCHEMA = f"{RUN_KEY} BIGINT, settings_count BIGINT, workspaces BIGINT"
+_RUNS_SCHEMA = f"{_COUNTS_SCHEMA}, stored_at TIMESTAMP"
 
 # Types that a stored column may be widened to, narrowest first.
 _WIDER = ((ByteType(), ShortType(), IntegerType(), LongType()), (FloatType(), DoubleType()))
@@ -84,45 +85,41 @@ class PathStore:
         try:
             if known is None or schema != known:
                 _append(spark.createDataFrame([(schema.json(),)], "columns STRING"), self._path("schema"))
-            stored = self._count(staged)
-            keys = [row[RUN_KEY] for row in stored.select(RUN_KEY).collect()]
-            if keys:
+            counts = self._count(staged).collect()
+            if counts:
                 _replace(_spread(staged, RUN_KEY), self._path("rows"), RUN_DATE, RUN_KEY)
-                self._store_drift(spark, keys)
-                self._store_previews(spark, keys)
-                _append(stored.withColumn("stored_at", F.current_timestamp()).coalesce(1), self._path("runs"))
+                times = self._neighbours(spark, [row[RUN_KEY] for row in counts])
+                self._store_drift(spark, schema, times)
+                self._store_previews(spark, schema, times)
+                stored = spark.createDataFrame(counts, _COUNTS_SCHEMA).withColumn("stored_at", F.current_timestamp())
+                _append(stored.coalesce(1), self._path("runs"))
         finally:
             _delete(spark, staged_path)
 
     def history(self, spark: SparkSession) -> DataFrame:
-        """All stored rows with the union of all columns; empty if none is stored. Opens no file."""
-        schema = self._schema(spark) or _plain(_parse_datatype_string(HISTORY_SCHEMA))
-        partitions = [StructField(RUN_DATE, DateType()), StructField(RUN_KEY, LongType())]
-        return _read(spark, self._path("rows"), StructType([*schema.fields, *partitions]))
+        """All stored rows with the union of all columns; empty if none is stored. Opens no file of them."""
+        return self._rows(spark, self._schema(spark) or _unwritten())
 
     def runs(self, spark: SparkSession) -> DataFrame:
         """One row per stored run: collected_at, run_key, settings_count and workspaces."""
-        entries = _read(spark, self._path("runs"), _parse_datatype_string(_RUNS_SCHEMA))
-        newest = F.max_by(F.struct("settings_count", "workspaces"), "stored_at")
-        by_run = entries.groupBy(RUN_KEY).agg(newest.alias("_last"))
-        return by_run.select(self._run(spark).alias("collected_at"), RUN_KEY, "_last.settings_count", "_last.workspaces")
+        return self._runs(spark, _run_type(self._schema(spark)))
 
     def layout(self, spark: SparkSession) -> Layout:
-        """The layout of the stored history, with its newest runs as literals (one small job)."""
-        runs = self.runs(spark)
+        """The layout of the stored history, with its newest runs as literals (two small jobs)."""
+        kind = _run_type(self._schema(spark))
+        runs = self._runs(spark, kind)
         newest = runs.orderBy(F.desc(RUN_KEY)).limit(LITERAL_RUNS + 1).select(RUN_KEY).collect()
-        literals = [(self._run(spark, F.lit(row[0])), F.lit(row[0])) for row in newest[:LITERAL_RUNS]]
-        nothing = F.lit(None).cast(self._run_type(spark))
-        known = KnownRuns(runs, tuple(literals), len(newest) <= LITERAL_RUNS, nothing)
+        literals = [(_run(kind, F.lit(row[0])), F.lit(row[0])) for row in newest[:LITERAL_RUNS]]
+        known = KnownRuns(runs, tuple(literals), len(newest) <= LITERAL_RUNS, F.lit(None).cast(kind))
         return Layout(run_partition=RUN_KEY, known_runs=known)
 
     def drift(
         self, spark: SparkSession, category_map: DataFrame | None = None, newest_run_only: bool = False
     ) -> DataFrame:
         """The stored changes, in the form of :func:`snaptrail.operators.drift.drift`."""
-        stored = self._derived(spark, "drift", f"{_changes_schema(self._run_type(spark))}, {RUN_KEY} BIGINT")
+        stored = self._derived(spark, "drift", _changes_schema(_run_type(self._schema(spark))))
         if newest_run_only:
-            stored = stored.where(F.col(RUN_KEY) == self._newest_key(spark))
+            stored = stored.where(F.col(RUN_KEY) == F.lit(self._newest_key(spark)))
         return categorized(stored.where("change_type IS NOT NULL"), category_map)
 
     def drift_alert(self, spark: SparkSession) -> DataFrame:
@@ -131,9 +128,9 @@ class PathStore:
 
     def newly_enabled_previews(self, spark: SparkSession, only_latest_run: bool = False) -> DataFrame:
         """The same as :func:`snaptrail.operators.alerts.newly_enabled_previews`, from the newest state only."""
-        newest = self._newest_key(spark)
-        found = alerts.just_enabled(self._previews(spark, newest))
-        return found.where(F.col("last_run") == self._run(spark, F.lit(newest))) if only_latest_run else found
+        kind, newest = _run_type(self._schema(spark)), self._newest_key(spark)
+        found = alerts.just_enabled(self._previews(spark, kind, newest))
+        return found.where(F.col("last_run") == _run(kind, F.lit(newest))) if only_latest_run else found
 
     def append_categories(self, updates: DataFrame) -> None:
         tables.append_categories(updates, self.map_path)
@@ -153,16 +150,20 @@ class PathStore:
             merged = merged_schema(merged, schema)
         return merged
 
-    def _run_type(self, spark: SparkSession) -> DataType:
-        schema = self._schema(spark) or _parse_datatype_string(HISTORY_SCHEMA)
-        return schema["collected_at"].dataType
+    def _rows(self, spark: SparkSession, schema: StructType) -> DataFrame:
+        partitions = [StructField(RUN_DATE, DateType()), StructField(RUN_KEY, LongType())]
+        return _read(spark, self._path("rows"), StructType([*schema.fields, *partitions]))
 
-    def _run(self, spark: SparkSession, key: Column | None = None) -> Column:
-        """The run of a key."""
-        return _run(self._run_type(spark), F.col(RUN_KEY) if key is None else key)
+    def _runs(self, spark: SparkSession, kind: DataType) -> DataFrame:
+        entries = _read(spark, self._path("runs"), _parse_datatype_string(_RUNS_SCHEMA))
+        newest = F.max_by(F.struct("settings_count", "workspaces"), "stored_at")
+        by_run = entries.groupBy(RUN_KEY).agg(newest.alias("_last"))
+        run = _run(kind, F.col(RUN_KEY)).alias("collected_at")
+        return by_run.select(run, RUN_KEY, "_last.settings_count", "_last.workspaces")
 
     def _newest_key(self, spark: SparkSession) -> int | None:
-        return self.runs(spark).agg(F.max(RUN_KEY)).first()[0]
+        runs = _read(spark, self._path("runs"), _parse_datatype_string(_RUNS_SCHEMA))
+        return runs.agg(F.max(RUN_KEY)).first()[0]
 
     def _count(self, staged: DataFrame) -> DataFrame:
         return staged.groupBy(RUN_KEY).agg(
@@ -170,57 +171,68 @@ class PathStore:
         )
 
     def _derived(self, spark: SparkSession, part: str, schema: str) -> DataFrame:
-        return _read(spark, self._path(part), _parse_datatype_string(schema))
-
-    def _timeline(self, spark: SparkSession, keys: list[int]) -> DataFrame:
-        """The keys of all runs, stored or being stored, each with the one before."""
-        here = spark.createDataFrame([(key,) for key in keys], f"{RUN_KEY} BIGINT")
-        every = self.runs(spark).select(RUN_KEY).union(here).distinct()
-        return every.withColumn("before", F.lag(RUN_KEY).over(Window.orderBy(RUN_KEY)))
-
-    def _store_drift(self, spark: SparkSession, keys: list[int]) -> None:
-        """Compare the stored runs ``keys`` and the runs after them with the runs before them."""
-        times = self._timeline(spark, keys)
+        return _read(spark, self._path(part), _parse_datatype_string(f"{schema}, {RUN_KEY} BIGINT"))
+
+    def _neighbours(self, spark: SparkSession, keys: list[int]) -> _Neighbours:
+        """Of the time line, including runs that are being stored, what touches the runs ``keys``."""
+        runs = _read(spark, self._path("runs"), _parse_datatype_string(_RUNS_SCHEMA)).select(RUN_KEY)
+        every = runs.union(spark.createDataFrame([(key,) for key in keys], f"{RUN_KEY} BIGINT")).distinct()
+        before, newest = F.lag(RUN_KEY).over(Window.orderBy(RUN_KEY)), F.max(RUN_KEY).over(Window.partitionBy())
+        times = every.select(RUN_KEY, before.alias("before"), newest.alias("newest"))
         touched = times.where(F.col(RUN_KEY).isin(keys) | F.col("before").isin(keys)).collect()
-        compared = [row[RUN_KEY] for row in touched]
-        read = sorted({*compared, *(row.before for row in touched if row.before is not None)})
-        rows = self.history(spark).where(F.col(RUN_KEY).isin(read))
-        changes = drift(rows, runs=times.select(self._run(spark).alias("collected_at"))).drop("category")
-        changes = changes.withColumn(RUN_KEY, _key(changes.schema, "detected_at")).where(F.col(RUN_KEY).isin(compared))
+        befores = {row[RUN_KEY]: row.before for row in touched}
+        return _Neighbours(min(keys), befores, touched[0].newest)
+
+    def _store_drift(self, spark: SparkSession, schema: StructType, times: _Neighbours) -> None:
+        """Compare the stored runs and the runs after them with the runs before them."""
+        kind, compared = _run_type(schema), sorted(times.before)
+        read = sorted({*compared, *(key for key in times.before.values() if key is not None)})
+        rows = self._rows(spark, schema).where(F.col(RUN_KEY).isin(read))
+        line = spark.createDataFrame([(key,) for key in read], f"{RUN_KEY} BIGINT").select(_run(kind, F.col(RUN_KEY)).alias("collected_at"))
+        changes = drift(rows, runs=line).drop("category")
+        changes = changes.withColumn(RUN_KEY, _key(changes.schema, "detected_at"))
+        # A run that is read as the one before only is compared with a wrong one, or with none.
+        changes = changes.where(F.col(RUN_KEY).isin(compared))
         # A row without a change makes sure that the partition of a run without changes is replaced, too.
         nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in changes.schema if f.name != RUN_KEY]
         empty = spark.createDataFrame([(key,) for key in compared], f"{RUN_KEY} BIGINT").select(*nothing, RUN_KEY)
         _replace(_spread(changes.unionByName(empty), RUN_KEY), self._path("drift"), RUN_KEY)
 
-    def _previews(self, spark: SparkSession, key: int | None) -> DataFrame:
-        kind = self._run_type(spark).simpleString()
-        schema = f"setting_name STRING, workspace BIGINT, observations ARRAY<STRUCT<run: {kind}, observed: STRING>>"
-        stored = self._derived(spark, "previews", f"{schema}, {RUN_KEY} BIGINT")
+    def _previews(self, spark: SparkSession, kind: DataType, key: int | None) -> DataFrame:
+        observed = f"ARRAY<STRUCT<run: {kind.simpleString()}, observed: STRING>>"
+        stored = self._derived(spark, "previews", f"setting_name STRING, workspace BIGINT, observations {observed}")
         return stored.where((F.col(RUN_KEY) == F.lit(key)) & F.col("setting_name").isNotNull()).drop(RUN_KEY)
 
-    def _store_previews(self, spark: SparkSession, keys: list[int]) -> None:
-        """The state after the newest run: that before the first of ``keys``, and all rows since."""
-        first = min(keys)
-        times = self._timeline(spark, keys)
-        newest = times.agg(F.max(RUN_KEY)).first()[0]
-        before = times.where(F.col(RUN_KEY) == first).first().before
-        rows = self.history(spark)
+    def _store_previews(self, spark: SparkSession, schema: StructType, times: _Neighbours) -> None:
+        """The state after the newest run: that before the first of the stored runs, and all rows since."""
+        before, newest = times.before[times.first], times.newest
+        rows = self._rows(spark, schema)
         states = _partitions(spark, self._path("previews"))
         if before in states:
-            rows = rows.where(F.col(RUN_KEY) >= first)
+            rows = rows.where(F.col(RUN_KEY) >= times.first)
         observed = alerts.preview_observations(rows).withColumn("workspace", F.col("workspace").cast("long"))
         if before in states:
-            observed = alerts.observations(self._previews(spark, before)).unionByName(observed)
+            state = self._previews(spark, _run_type(schema), before)
+            observed = alerts.observations(state).unionByName(observed)
         state = alerts.last_two(observed)
         nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in state.schema]
         state = state.unionByName(spark.range(1).select(*nothing)).withColumn(RUN_KEY, F.lit(newest).cast("long"))
         _replace(_spread(state, RUN_KEY), self._path("previews"), RUN_KEY)
         # States of older runs that the stored ones follow or replace, and those that nobody needs.
         for old in sorted(key for key in states if key < newest):
-            if old >= first or old in sorted(states | {newest})[:-STATES_KEPT]:
+            if old >= times.first or old in sorted(states | {newest})[:-STATES_KEPT]:
                 _delete(spark, f"{self._path('previews')}/{RUN_KEY}={old}")
 
 
+@dataclass(frozen=True)
+class _Neighbours:
+    """The first of the runs being stored, the run before each of them and of the runs after them, the newest run."""
+
+    first: int
+    before: dict[int, int | None]
+    newest: int
+
+
 def merged_schema(stored: StructType | None, new: StructType) -> StructType:
     """The columns of both, stored ones first. A column of two types gets the wider one, or is refused."""
     if stored is None:
@@ -245,6 +257,10 @@ def _plain(schema: StructType) -> StructType:
     return StructType([StructField(f.name, f.dataType) for f in schema if f.name not in (RUN_DATE, RUN_KEY)])
 
 
+def _run_type(schema: StructType | None) -> DataType:
+    return (schema or _unwritten())["collected_at"].dataType
+
+
 def _changes_schema(run_type: DataType) -> str:
     return (
         "change_date DATE, setting_name STRING, workspace_name STRING, change_type STRING, previous_value STRING, "
@@ -267,6 +283,11 @@ def _run(kind: DataType, key: Column) -> Column:
     return start + F.make_dt_interval(secs=(rest / 1_000_000).cast("decimal(18,6)"))
 
 
+def _unwritten() -> StructType:
+    """The columns of a history in which nothing is stored yet."""
+    return _plain(_parse_datatype_string(HISTORY_SCHEMA))
+
+
 def _spread(rows: DataFrame, column: str) -> DataFrame:
     """Rows of a partition together, cut into files of even size where adaptive execution can."""
     adaptive = rows.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true"
