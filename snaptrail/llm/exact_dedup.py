@@ -26,6 +26,9 @@ BLOCK_CHARS = 4096
 # Stands for "no right neighbour"; names are never negative.
 NOTHING = -1
 
+# Rows of one key that a task writes at once.
+PART_COPIES = 1 << 16
+
 Digest = Callable[[Column, int], Column]
 
 
@@ -59,20 +62,31 @@ def exact_groups(
     sizes = groups.groupBy("level", "name").agg(
         F.max("doc_id").alias("keep_id"), F.sum("copies").alias("group_size")
     )
-    copies = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy")
-    return (
-        groups.join(cut_lineage(sizes), ["level", "name"])
-        .select("doc_id", "keep_id", "group_size", "sha", copies)
-        .select(
-            "doc_id",
-            "keep_id",
-            "group_size",
-            (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1)).alias("kept"),
-            F.lower(F.hex("sha")).alias("text_sha256"),
-        )
+    found = groups.join(cut_lineage(sizes), ["level", "name"])
+    return _copies(found.select("doc_id", "keep_id", "group_size", "sha", "copies")).select(
+        "doc_id",
+        "keep_id",
+        "group_size",
+        (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 0)).alias("kept"),
+        F.lower(F.hex("sha")).alias("text_sha256"),
     )
 
 
+def _copies(keys: DataFrame) -> DataFrame:
+    """Each key as often as it has rows, numbered from 0 as ``copy``.
+
+    A key of very many rows is first cut into parts, which are dealt out.
+    """
+    one = F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("copy")
+    few = keys.where(F.col("copies") <= PART_COPIES).select("*", one)
+    last = F.expr(f"(copies - 1) div {PART_COPIES}")
+    parts = keys.where(F.col("copies") > PART_COPIES)
+    parts = parts.select("*", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("part")).repartition("sha", "part")
+    first = F.col("part") * PART_COPIES
+    in_part = F.explode(F.sequence(first, F.least(first + PART_COPIES, "copies") - 1)).alias("copy")
+    return few.unionByName(parts.select("*", in_part).drop("part"))
+
+
 def _same_key(left: DataFrame, right: DataFrame) -> Column:
     return left["doc_id"].eqNullSafe(right["doc_id"]) & (left["sha"] == right["sha"])
 

@@ -21,10 +21,10 @@ from snaptrail.llm.ngrams import letters, ngram_buckets, texts
 SIZES = (1, 2, 3)
 BITS = 12
 
-# Training documents of each language, those with the smallest hashes. Their vectors are all that
-# reaches the driver: at most TRAINING_PER_LANGUAGE * MAX_LANGUAGES rows of 2**BITS counts.
+# Training documents of each language, those with the smallest hashes, and languages that are learned, those with
+# the most documents. Centroids are all that reaches the driver: CENTROIDS * LANGUAGES rows of 2**BITS numbers.
 TRAINING_PER_LANGUAGE = 400
-MAX_LANGUAGES = 200
+LANGUAGES = 1000
 
 CENTROIDS = 4
 
@@ -82,18 +82,22 @@ def clusters(vectors: np.ndarray, k: int, rounds: int = 15) -> np.ndarray:
     return centroids
 
 
-def fit(docs: DataFrame, lang_col: str = "lang", per_language: int = TRAINING_PER_LANGUAGE) -> LanguageModel | None:
+def fit(
+    docs: DataFrame, lang_col: str = "lang", per_language: int = TRAINING_PER_LANGUAGE, languages: int = LANGUAGES
+) -> LanguageModel | None:
     """Learn from texts with a letter and a non-null language; None if there is no such row.
 
     Of a language with more than ``per_language`` ids, those with the smallest hashes are taken. An id that
     repeats with another language counts for the smallest, and with another text for that with the smallest
-    hash. More than MAX_LANGUAGES languages are an error.
+    hash. Of more than ``languages`` languages those with the most ids are learned, the smallest name first among
+    equals. Counting and clustering are done in tasks, one language at a time.
     """
     docs = docs.where(F.col("text").rlike(HAS_LETTER))
     named = docs.select("doc_id", F.col(lang_col).alias("lang")).where("lang IS NOT NULL AND doc_id IS NOT NULL")
     named = named.groupBy("doc_id").agg(F.min("lang").alias("lang"))
-    if named.select("lang").distinct().limit(MAX_LANGUAGES + 1).count() > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    # At most ``languages`` rows.
+    learned = stored(named.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).select("lang"))
+    named = named.join(F.broadcast(learned), "lang", "left_semi")
     chosen = first_by_hash(named, "lang", per_language)
     training = documents(docs).join(F.broadcast(chosen.select("doc_id", "lang")), "doc_id")
     training = stored(training.groupBy("doc_id", "lang").agg(F.min_by("text", F.xxhash64("text")).alias("text")))
@@ -105,25 +109,46 @@ def fit(docs: DataFrame, lang_col: str = "lang", per_language: int = TRAINING_PE
                 [batch["doc_id"], batch["lang"], pa.array(counts, pa.list_(pa.float32()))], ["doc_id", "lang", "counts"]
             )
 
-    table = training.mapInArrow(counted, "doc_id long, lang string, counts array<float>").toArrow()
-    table = table.combine_chunks().sort_by("doc_id")
-    if not len(table):
+    id_type = training.schema["doc_id"].dataType.simpleString()
+    counts = stored(training.mapInArrow(counted, f"doc_id {id_type}, lang string, counts array<float>"))
+
+    def present(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, found = 0, np.zeros(1 << BITS, np.int64)
+        for batch in batches:
+            rows += len(batch)
+            found += (_rows(batch["counts"]) > 0).sum(axis=0)
+        # Place -1 is the number of documents.
+        columns = [np.arange(-1, 1 << BITS), np.concatenate([[rows], found])]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["place", "n"])
+
+    sums = counts.select("counts").mapInArrow(present, "place long, n long").groupBy("place").agg(F.sum("n").alias("n"))
+    totals = np.zeros(1 + (1 << BITS), np.int64)
+    for place, n in sums.collect():
+        totals[place + 1] = n
+    if not totals[0]:
         return None
-    counts = table["counts"].combine_chunks().flatten().to_numpy().reshape(-1, 1 << BITS)
-    langs = np.array(table["lang"].to_pylist())
-    idf = (np.log((1 + len(counts)) / (1 + (counts > 0).sum(axis=0))) + 1).astype(np.float32)
-    vectors = tf_idf(counts, idf)
-    languages, centroids, owner = sorted(set(langs.tolist())), [], []
-    for place, lang in enumerate(languages):
-        found = clusters(vectors[langs == lang], CENTROIDS)
-        centroids.append(found)
-        owner += [place] * len(found)
-    centroids = np.vstack(centroids).astype(np.float32)
+    idf = (np.log((1 + totals[0]) / (1 + totals[1:])) + 1).astype(np.float32)
+
+    def clustered(table: pa.Table) -> pa.Table:
+        table = table.sort_by("doc_id").combine_chunks()
+        found = clusters(tf_idf(_rows(table["counts"].combine_chunks()), idf), CENTROIDS).astype(np.float32)
+        return pa.table({"lang": [table["lang"][0].as_py()] * len(found), "place": range(len(found)), "centroid": list(found)})
+
+    kinds = "lang string, place long, centroid array<float>"
+    found = sorted(counts.groupBy("lang").applyInArrow(clustered, kinds).collect())
+    languages = sorted({row.lang for row in found})
+    owner = [languages.index(row.lang) for row in found]
+    centroids = [np.array(row.centroid, np.float32) for row in found]
+    centroids = np.vstack(centroids)
     model = LanguageModel(languages, idf, centroids, np.array(owner), np.zeros((len(languages), len(LENGTHS))))
     model.reject_below = _bounds(training, model)
     return model
 
 
+def _rows(lists: pa.Array) -> np.ndarray:
+    return lists.flatten().to_numpy(zero_copy_only=False).reshape(-1, 1 << BITS)
+
+
 def _bounds(training: DataFrame, model: LanguageModel) -> np.ndarray:
     """The cosine below which a text is rejected, of each language and each of LENGTHS."""
 

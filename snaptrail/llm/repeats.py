@@ -18,12 +18,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snaptrail.llm.common import documents, once, stored
 from snaptrail.llm.near_dedup import mixed
 from snaptrail.llm.ngrams import texts
+from snaptrail.operators.numbering import numbered
 
 LENGTH = 100
 
@@ -36,9 +37,6 @@ CHUNK_BYTES = 48 << 20
 # Pieces that are put in order at once, and more only if one anchor has more.
 CHUNK_PIECES = 50_000
 
-# Room for positions of one text; texts that share an id stand one after the other.
-TEXT_BITS = 40
-
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0x5851F42D4C957F2D
 _VALUES = mixed(np.arange(1, 257, dtype=np.uint64) * _GOLDEN)
@@ -103,18 +101,18 @@ def remove_repeats(
     Each byte is removed that a string of ``length`` bytes covers which also starts earlier: in a document
     with a smaller id, or in the same one before. All is judged on the input; matches never cross documents.
     Texts are UTF-8 bytes, null is empty. Rows that agree in id and text are one document. Different texts of
-    one id stand one after the other, by hash. Rows without an id come before all others.
+    one id stand one after the other, by SHA-256. Rows without an id come before all others. Ids may be of any
+    type that Spark can order.
     """
     rows = _placed(documents(docs, id_col, text_col))
     # Copies of a row would find their own text repeated.
-    single = once(rows, "doc", "base")
+    single = once(rows, "doc")
     first = stored(_sorted_anchors(single, length, gram, chunk_bytes))
     spans = first.where("place IS NULL").select("doc", "start", "end")
     open_anchors = first.where("place IS NOT NULL")
     spans = spans.unionByName(_decided(single, open_anchors, length, gram, chunk_pieces))
     by_text = _by_text(spans)
-    by_text = by_text.select(F.col("doc").alias("_doc"), F.col("base").alias("_base"), "spans")
-    joined = rows.join(by_text, (F.col("doc") == F.col("_doc")) & (F.col("base") == F.col("_base")), "left")
+    joined = rows.join(by_text, "doc", "left")
     id_type = rows.schema["doc_id"].dataType.simpleString()
     return joined.select("doc_id", "text", "spans").mapInArrow(
         _cut,
@@ -123,25 +121,25 @@ def remove_repeats(
 
 
 def _by_text(spans: DataFrame) -> DataFrame:
-    """Spans of one text together, with positions in it; they are as many as its anchors at most."""
-    base = F.shiftleft(F.shiftright("start", TEXT_BITS), TEXT_BITS)
-    span = F.struct((F.col("start") - base).alias("start"), (F.col("end") - base).alias("end"))
-    return spans.groupBy("doc", base.alias("base")).agg(F.collect_list(span).alias("spans"))
+    """Spans of one text together; they are as many as its anchors at most."""
+    return spans.groupBy("doc").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
 
 
 def _placed(rows: DataFrame) -> DataFrame:
-    """Adds ``doc``, an order of documents, and ``base``, the place of a text among those that share its id."""
-    doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
-    rows = rows.withColumn("doc", doc).withColumn("hash", F.xxhash64("text"))
-    texts_of = rows.groupBy("doc").agg(F.min("hash").alias("low"), F.max("hash").alias("high"))
-    several = texts_of.where("low <> high").select("doc")
-    if several.isEmpty():
-        return rows.withColumn("base", F.lit(0).cast("long")).drop("hash")
-    different = rows.select("doc", "hash").join(several, "doc").distinct()
-    place = F.row_number().over(Window.partitionBy("doc").orderBy("hash")) - 1
-    different = different.withColumn("base", F.shiftleft(place.cast("long"), TEXT_BITS))
-    rows = rows.join(stored(different), ["doc", "hash"], "left")
-    return rows.withColumn("base", F.coalesce("base", F.lit(0).cast("long"))).drop("hash")
+    """Adds ``doc``, a long by which different texts are told apart and ordered.
+
+    That is the id, if each row has one of its own and it is an integer. Otherwise it is a text's number in
+    the order of ids, rows without one first, and of the texts' SHA-256.
+    """
+    integer = rows.schema["doc_id"].dataType.simpleString() in ("tinyint", "smallint", "int", "bigint")
+    repeated = rows.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL")
+    if integer and repeated.isEmpty():
+        return rows.withColumn("doc", F.col("doc_id").cast("long"))
+    rows = rows.withColumn("hash", F.sha2("text", 256))
+    different = rows.select(F.col("doc_id").alias("_id"), F.col("hash").alias("_hash")).distinct()
+    different = stored(numbered(different, "_id", "_hash", column="doc"))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("hash") == F.col("_hash"))
+    return rows.join(different, same).select("doc_id", "text", "doc")
 
 
 _ANCHOR_SCHEMA = "value long, around long, doc long, place long, start long, end long"
@@ -154,11 +152,10 @@ def _sorted_anchors(rows: DataFrame, length: int, gram: int, chunk_bytes: int) -
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         anchors, parts, size = Anchors(length, gram), [], 0
         for batch in batches:
-            columns = (texts(batch["text"]), batch["doc"].to_pylist(), batch["base"].to_pylist())
-            for text, doc, base in zip(*columns):
+            for text, doc in zip(texts(batch["text"]), batch["doc"].to_pylist()):
                 value, place, start, end, around = anchors(text)
                 if len(value):
-                    where = np.array([place, start, end], np.int64) + base
+                    where = np.array([place, start, end], np.int64)
                     parts.append((value, around, np.full(len(value), doc, np.int64), *where))
                 size += len(text)
                 if size >= chunk_bytes:
@@ -219,7 +216,7 @@ def _sorted_anchors(rows: DataFrame, length: int, gram: int, chunk_bytes: int) -
             held, shown = [c[last : last + 1] for c in columns], last_open
         return
 
-    raw = rows.select("doc", "base", "text").mapInArrow(found, _ANCHOR_SCHEMA)
+    raw = rows.select("doc", "text").mapInArrow(found, _ANCHOR_SCHEMA)
     ordered = raw.repartition("value").sortWithinPartitions("value", "around", "doc", "place")
     return ordered.mapInArrow(firsts, _ANCHOR_SCHEMA)
 
@@ -247,11 +244,8 @@ def merged(doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndar
 
 def _decided(rows: DataFrame, open_anchors: DataFrame, length: int, gram: int, chunk_pieces: int) -> DataFrame:
     """doc, start, end of what is repeated around anchors whose surroundings differ."""
-    base = F.shiftleft(F.shiftright("place", TEXT_BITS), TEXT_BITS)
-    wanted = open_anchors.groupBy(F.col("doc").alias("_doc"), base.alias("_base")).agg(
-        F.collect_list(F.struct("value", "place")).alias("anchors")
-    )
-    holders = rows.join(wanted, (F.col("doc") == F.col("_doc")) & (F.col("base") == F.col("_base")))
+    wanted = open_anchors.groupBy("doc").agg(F.collect_list(F.struct("value", "place")).alias("anchors"))
+    holders = rows.join(wanted, "doc")
     side = length - gram
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -259,11 +253,10 @@ def _decided(rows: DataFrame, open_anchors: DataFrame, length: int, gram: int, c
             lists = batch["anchors"]
             ends = lists.offsets.to_numpy()
             values, places = (lists.values.field(i).to_numpy() for i in range(2))
-            columns = zip(texts(batch["text"]), batch["doc"].to_pylist(), batch["base"].to_pylist(), ends[:-1], ends[1:])
-            for text, doc, base, first, last in columns:
+            for text, doc, first, last in zip(texts(batch["text"]), batch["doc"].to_pylist(), ends[:-1], ends[1:]):
                 padded = np.zeros(len(text) + 2 * side, np.uint8)
                 padded[side : side + len(text)] = text
-                at = places[first:last] - base
+                at = places[first:last]
                 pieces = padded[at[:, None] + np.arange(2 * side + gram)]
                 left, right = np.minimum(at, side), np.minimum(len(text) - at - gram, side)
                 yield pa.RecordBatch.from_arrays(
@@ -289,7 +282,7 @@ def _decided(rows: DataFrame, open_anchors: DataFrame, length: int, gram: int, c
                 ["doc", "start", "end"],
             )
 
-    pieces = holders.select("doc", "base", "text", "anchors").mapInArrow(
+    pieces = holders.select("doc", "text", "anchors").mapInArrow(
         cut, "value long, doc long, place long, left int, right int, piece binary"
     )
     return pieces.repartition("value").sortWithinPartitions("value").mapInArrow(decide, "doc long, start long, end long")

@@ -544,3 +544,32 @@ def test_language_id_rejects_a_language_left_out_of_the_fit_despite_odd_rows(spa
     rejected = {lang: [rows[i].rejected for i, _, own in docs if own == lang] for lang in syllables}
     assert sum(rejected["left"]) > 0.95 * len(rejected["left"])
     assert sum(rejected["xx"] + rejected["yy"]) < 0.02 * 300
+
+
+def test_a_text_may_have_any_number_of_rows_and_an_id_any_number_of_texts(spark, monkeypatch):
+    from snaptrail.llm import exact_dedup
+
+    monkeypatch.setattr(exact_dedup, "PART_COPIES", 4)
+    docs = [(1, "same")] * 23 + [(2, "SAME")] * 4 + [(None, "x")] * 5 + [(3, "alone")]
+    rows = exact_groups(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert len(rows) == len(docs) and sum(r.kept for r in rows) == 3
+    assert {(r.doc_id, r.keep_id, r.group_size) for r in rows if r.keep_id == 2} == {(1, 2, 27), (2, 2, 27)}
+    # Different texts of one id, and of none, never share spans; ids may be texts.
+    repeated = "abcdefghijklmnopqrstuvwxyz0123"
+    texts_of = [(i, f"{n:04d}" + repeated) for n, i in enumerate(["a", "a", None, None, "b"])]
+    cleaned = remove_repeats(spark.createDataFrame(texts_of, "doc_id string, text string"), length=20, gram=4).collect()
+    kept = sorted((r.doc_id or "", bytes(r.kept)) for r in cleaned)
+    assert sum(len(text) > 20 for _, text in kept) == 1 and len(kept) == 5
+    assert all(len(text) < 20 for i, text in kept if i)
+
+
+def test_more_languages_than_are_learned(spark):
+    rows = [(f"d{n}-{i}", f"{chr(97 + n % 26)}{chr(97 + n // 26)} " * (3 + i), f"l{n:03d}") for n in range(201) for i in range(2)]
+    rows += [(f"more-{i}", "zz yy xx " * 4, "l200") for i in range(3)]
+    table = spark.createDataFrame(rows, "doc_id string, text string, lang string").repartition(3)
+    model = language_id.fit(table)
+    assert len(model.languages) == 201
+    few = language_id.fit(table, languages=3)
+    assert few.languages == ["l000", "l001", "l200"]
+    found = language_id.predict(table, model).select("doc_id", "lang_pred").collect()
+    assert len(found) == len(rows)
