@@ -13,10 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snaptrail.llm import language_id, token_files
-from snaptrail.llm.common import held_out, once, shared_folder, table
+from snaptrail.llm.common import held_out, once, shared_folder, stored, table
 from snaptrail.llm.decontamination import contamination
 from snaptrail.llm.mixing import mix
 from snaptrail.llm.near_dedup import near_groups
+from snaptrail.operators.numbering import numbered
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 TOKENIZER = "byte_bpe_50k.json"
@@ -73,10 +74,25 @@ def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def _keyed(docs: DataFrame, *columns: str) -> DataFrame:
-    """Adds ``_key``, a hash of ``columns``, nulls told apart: what one decision holds for."""
-    columns = columns or ("doc_id", "text")
-    nulls = (F.col(c).isNull() for c in columns)
-    return docs.select(*COLUMNS, F.xxhash64(*columns, *nulls).alias("_key"))
+    """Adds ``_key``, a long that rows share which agree in ``columns``, and no others: what one decision holds for.
+
+    That is the id where no other row has it. Rows that repeat an id, or have none, get numbers below all ids, by
+    their SHA-256; only these rows are shuffled.
+    """
+    docs, columns = docs.select(*COLUMNS), columns or ("doc_id", "text")
+    repeated = docs.groupBy(F.col("doc_id").alias("_id")).count().where("count > 1 OR _id IS NULL").select("_id")
+    repeated = stored(repeated)
+    if repeated.isEmpty():
+        return docs.withColumn("_key", F.col("doc_id"))
+    same = F.col("doc_id").eqNullSafe(F.col("_id"))
+    alone = docs.join(repeated, same, "left_anti").withColumn("_key", F.col("doc_id"))
+    # The length and a mark for null keep columns apart that are hashed together.
+    parts = [F.coalesce(F.concat(F.length(F.col(c).cast("string")).cast("string"), F.lit(":"), c), F.lit("-")) for c in columns]
+    several = docs.join(repeated, same, "left_semi").withColumn("_digest", F.sha2(F.concat(*parts), 256))
+    lowest = docs.agg(F.coalesce(F.least(F.min("doc_id"), F.lit(0)), F.lit(0)).cast("long")).first()[0]
+    numbers = numbered(several.select("_digest").distinct(), "_digest")
+    numbers = stored(numbers.select("_digest", (F.lit(lowest) - F.col("number")).alias("_key")))
+    return alone.unionByName(several.join(numbers, "_digest").drop("_digest"))
 
 
 def _kept(docs: DataFrame, chosen: DataFrame, *columns: str) -> DataFrame:
