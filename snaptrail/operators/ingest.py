@@ -61,8 +61,8 @@ def snapshot_union(account_rows: DataFrame, workspace_rows: DataFrame) -> DataFr
 
 
 def workspace_ids(ids: Iterable[int] | str | None) -> list[int]:
-    """Workspace ids from a list or a comma-separated text."""
-    parts = ids.split(",") if isinstance(ids, str) else ids or []
+    """Workspace ids from a list or a comma-separated text, in which blank parts count as none."""
+    parts = [part for part in ids.split(",") if part.strip()] if isinstance(ids, str) else ids or []
     return [int(part) for part in parts]
 
 

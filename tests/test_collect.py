@@ -79,6 +79,12 @@ def test_workspace_filter_keeps_the_account(spark):
     assert ingest.only_workspaces(workspaces(spark), []).count() == 3
 
 
+@pytest.mark.parametrize("given, wanted", [("", []), (" ", []), ("1,,3", [1, 3]), ("1, 3,", [1, 3]), (None, []), ([2], [2])])
+def test_blank_workspace_ids_are_none(spark, given, wanted):
+    assert ingest.workspace_ids(given) == wanted
+    assert ingest.only_workspaces(workspaces(spark), given).count() == (len([w for w in (1, 2, 2) if w in wanted]) if wanted else 3)
+
+
 def test_union_fills_columns_one_side_lacks(spark):
     both = ingest.snapshot_union(account(spark).withColumn("extra", F.lit(1)), workspaces(spark))
     assert {(r.workspace_id, r.extra) for r in both.collect()} == {(None, 1), (1, None), (2, None)}
