@@ -82,6 +82,10 @@ read_values AS (
   SELECT *, CASE
       WHEN read_failed THEN '<unavailable>'
       WHEN payload IS NULL THEN '<null>'
+      -- The last of members that repeat, and a number that is not whole as the text of its double.
+      WHEN payload LIKE '%old%' THEN regexp_extract(payload, '.*"(?:string_val|value)":"([^"]*)"', 1)
+      WHEN contains(payload, '"value":') AND NOT contains(payload, '_val"')
+        THEN CAST(CAST(regexp_extract(payload, '"value":([^}}]*)', 1) AS DOUBLE) AS VARCHAR)
       WHEN json_type(payload, '$.effective_boolean_val.value') = 'BOOLEAN'
         THEN if(CAST(payload ->> '$.effective_boolean_val.value' AS BOOLEAN), 'True', 'False')
       ELSE coalesce(payload ->> '$.effective_string_val.value', payload ->> '$.effective_integer_val.value',

@@ -36,12 +36,16 @@ category_map AS (
 PAYLOADS = """
 payloads AS (
   SELECT event_id, user_id, concat('setting_', CAST(user_id AS VARCHAR)) AS setting_name,
-    CASE event_id % 6
+    CASE WHEN event_id % 30 = 3 THEN concat('{"name":"s","string_val":"old","string_val":"', event_type, '"}')
+      WHEN event_id % 30 = 9 THEN concat('{"name":"s","string_val":{"value":"old","value":"', event_type, '"}}')
+      WHEN event_id % 30 = 15
+        THEN concat('{"name":"s","value":', ['1.0', '1e20', '-0.0', '1.50', '0.000015'][event_id // 30 % 5 + 1], '}')
+    ELSE CASE event_id % 6
       WHEN 0 THEN concat('{"name":"s","effective_boolean_val":{"value":', CASE WHEN value < 5 THEN 'true' ELSE 'false' END, '}}')
       WHEN 1 THEN concat('{"name":"s","effective_string_val":{"value":"', event_type, '"}}')
       WHEN 2 THEN concat('{"name":"s","effective_integer_val":{"value":', CAST(user_id AS VARCHAR), '}}')
       WHEN 3 THEN concat('{"name":"s","string_val":{"value":"', event_type, '"}}')
-      WHEN 4 THEN '{"name":"s"}' ELSE NULL END AS payload,
+      WHEN 4 THEN '{"name":"s"}' ELSE NULL END END AS payload,
     event_id % 12 = 5 AS read_failed
   FROM events)"""
 

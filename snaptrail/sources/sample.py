@@ -60,16 +60,25 @@ def category_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One raw JSON setting payload per event, in six forms; some NULL, some failed to be read."""
+    """One raw JSON setting payload per event, in nine forms; some NULL, some failed to be read.
+
+    Three of the forms, a member that repeats, one that repeats inside another and a number that is not
+    whole, take the place of every fifth text each.
+    """
     return spark.sql(
         """
         SELECT event_id, concat('setting_', CAST(user_id AS STRING)) AS setting_name,
-          CASE event_id % 6
+          CASE WHEN event_id % 30 = 3 THEN concat('{{"name":"s","string_val":"old","string_val":"', event_type, '"}}')
+            WHEN event_id % 30 = 9
+              THEN concat('{{"name":"s","string_val":{{"value":"old","value":"', event_type, '"}}}}')
+            WHEN event_id % 30 = 15 THEN concat('{{"name":"s","value":',
+              element_at(array('1.0', '1e20', '-0.0', '1.50', '0.000015'), CAST(event_id / 30 AS INT) % 5 + 1), '}}')
+          ELSE CASE event_id % 6
             WHEN 0 THEN concat('{{"name":"s","effective_boolean_val":{{"value":', CAST(value < 5 AS STRING), '}}}}')
             WHEN 1 THEN concat('{{"name":"s","effective_string_val":{{"value":"', event_type, '"}}}}')
             WHEN 2 THEN concat('{{"name":"s","effective_integer_val":{{"value":', CAST(user_id AS STRING), '}}}}')
             WHEN 3 THEN concat('{{"name":"s","string_val":{{"value":"', event_type, '"}}}}')
-            WHEN 4 THEN '{{"name":"s"}}' END AS payload,
+            WHEN 4 THEN '{{"name":"s"}}' END END AS payload,
           event_id % 12 = 5 AS read_failed, user_id
         FROM {events}
         """,

@@ -45,6 +45,43 @@ CASES = [
     ("plain text", '"abc"', False, "abc"),
     ("plain boolean", "true", False, "True"),
     ("array", "[1,2]", False, "[1,2]"),
+    ("last of repeats", '{"name":"s","string_val":"x","string_val":"y"}', False, "y"),
+    ("last of repeats inside", '{"effective_string_val":{"value":"x","value":"y"}}', False, "y"),
+    ("repeated message", '{"effective_a":{"v":"x"},"effective_a":{"v":1,"v":2}}', False, "2"),
+    ("repeats in JSON", '{"effective_a":{"b":{"k":1,"k":{"z":1,"z":2}},"a":1,"a":2}}', False, '{"a":2,"b":{"k":{"z":2}}}'),
+    ("last is null", '{"string_val":"x","string_val":null,"value":"v"}', False, "v"),
+    ("one decimal", '{"name":"s","value":1.0}', False, "1.0"),
+    ("trailing zero", '{"name":"s","value":1.50}', False, "1.5"),
+    ("large exponent", '{"name":"s","value":1e20}', False, "1e+20"),
+    ("large fixed", '{"name":"s","value":12345678.25}', False, "12345678.25"),
+    ("below scientific", '{"name":"s","value":1e15}', False, "1000000000000000.0"),
+    ("small", '{"name":"s","value":0.0001}', False, "0.0001"),
+    ("smaller", '{"name":"s","value":0.000015}', False, "1.5e-05"),
+    ("tiny", '{"name":"s","value":-2.5e-300}', False, "-2.5e-300"),
+    ("overflow", '{"name":"s","value":-1e400}', False, "-inf"),
+    ("negative zero", '{"name":"s","value":-0.0}', False, "-0.0"),
+    ("negative decimal", '{"name":"s","value":-0.5}', False, "-0.5"),
+    ("whole negative zero", '{"name":"s","value":-0}', False, "0"),
+    ("decimals in JSON", '{"effective_a":{"b":[1.0,1e20,"1.0"],"a":true}}', False, '{"a":true,"b":[1.0,1e+20,"1.0"]}'),
+    ("number as text", '{"name":"s","value":"1e20"}', False, "1e20"),
+    ("null as text", '{"name":"s","value":"null"}', False, "null"),
+    ("marks in a text", '{"name":"s","value":"|a|"}', False, "|a|"),
+    ("only a mark", '{"name":"s","value":"|"}', False, "|"),
+    ("object as text", '{"name":"s","value":"{}"}', False, "{}"),
+    ("quotes and backslashes", '{"name":"s","value":"a\\"b\\\\\\"c\\\\"}', False, 'a"b\\"c\\'),
+    ("quotes in JSON", '{"effective_a":{"b":{"x\\"":"y\\\\"},"a":1}}', False, '{"a":1,"b":{"x\\"":"y\\\\"}}'),
+    ("spaces", ' { "name" : "s" , "value" : [ 1 , "a b" ] } ', False, '[1,"a b"]'),
+    ("name sorted before longer", '{"effective_ab":{"v":"long"},"effective_a":{"v":"short"}}', False, "short"),
+    ("two literals", '{"value":[1 2]}', False, "<unavailable>"),
+    ("bad number", '{"value":01}', False, "<unavailable>"),
+    ("number as name", '{1:2}', False, "<unavailable>"),
+    ("bare word", '{"value":yes}', False, "<unavailable>"),
+    ("single quotes", "{'value':1}", False, "<unavailable>"),
+    ("text behind", '{"value":1} x', False, "<unavailable>"),
+    ("two values", '1,"_":2', False, "<unavailable>"),
+    ("only spaces", "  ", False, "<unavailable>"),
+    ("deep", '{"value":[[[[[[[[{"a":1}]]]]]]]]}', False, '[[[[[[[[{"a":1}]]]]]]]]'),
+    ("long text with escapes", '{"value":"' + '\\\\' * 50000 + '"}', False, "\\" * 50000),
     ("unknown read state", '{"name":"s"}', None, "<not-set>"),
 ]
 
