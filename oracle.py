@@ -227,7 +227,9 @@ def statements() -> dict[str, str]:
             _DRIFT,
             """SELECT setting_name, workspace_name, change_type, previous_value, new_value,
                  format('{} [{}]: {} ({} -> {})', setting_name, coalesce(workspace_name, '-'), change_type,
-                   coalesce(previous_value, '(none)'), coalesce(new_value, '(none)')) AS line
+                   coalesce(previous_value, '(none)'), coalesce(new_value, '(none)')) AS line,
+                 row_number() OVER (ORDER BY setting_name NULLS FIRST, workspace_name NULLS FIRST,
+                   change_type, previous_value NULLS FIRST, new_value NULLS FIRST) AS number
                FROM drift WHERE detected_at = (SELECT max(collected_at) FROM history)""",
         ),
         "alert_new_preview": _sql(
@@ -236,7 +238,8 @@ def statements() -> dict[str, str]:
         "alert_new_preview_lines": _sql(
             (HISTORY, ENABLED),
             """SELECT *, format('{} [ws {}]: {} -> {}', setting_name, workspace, coalesce(previous_value, '(new)'),
-                 current_value) AS line FROM enabled""",
+                 current_value) AS line,
+                 row_number() OVER (ORDER BY setting_name NULLS FIRST, workspace) AS number FROM enabled""",
         ),
         # datasets
         "current_ds": _sql(_CURRENT, "SELECT * FROM current_ds"),
@@ -322,6 +325,14 @@ def statements() -> dict[str, str]:
             """SELECT workspace_name, count(*) FILTER (category IN ('ingestion', 'platform')) AS selectable_rows
                FROM preview_ds GROUP BY workspace_name""",
         ),
+        "filter_values_page": _sql(
+            _CURRENT,
+            """SELECT 'workspace_name' AS filter, workspace_name AS value,
+                 count(*) FILTER (category IN ('ingestion', 'platform')) AS selectable_rows
+               FROM current_ds GROUP BY workspace_name
+               UNION ALL
+               SELECT 'category', category, count(*) FILTER (workspace_name = 'ws-2') FROM current_ds GROUP BY category""",
+        ),
         "cross_filter": _sql(
             _CURRENT,
             """SELECT scope, count(setting_name) AS setting_count FROM current_ds

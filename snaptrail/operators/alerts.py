@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from snaptrail.functions.values import is_on, is_preview
 from snaptrail.layout import Layout
 from snaptrail.operators.drift import latest_drift
+from snaptrail.operators.numbering import numbered
 from snaptrail.operators.runs import latest_rows
 
 
@@ -17,7 +18,12 @@ def drift_alert(history: DataFrame, layout: Layout = Layout()) -> DataFrame:
 
 
 def drift_alert_lines(history: DataFrame, layout: Layout = Layout()) -> DataFrame:
-    """One row per change found by the newest run, with the ``line`` that reports it."""
+    """One row per change found by the newest run, with the ``line`` that reports it and its ``number``.
+
+    Numbers run from 1 to the number of changes in the order of the other columns, nulls first, so the
+    report as one text is its lines in the order of ``number``. They are counted over range partitions;
+    no task sees all lines.
+    """
     line = F.concat(
         "setting_name",
         F.lit(" ["),
@@ -31,9 +37,8 @@ def drift_alert_lines(history: DataFrame, layout: Layout = Layout()) -> DataFram
         F.lit(")"),
     )
     changes = latest_drift(history, layout=layout)
-    return changes.select(
-        "setting_name", "workspace_name", "change_type", "previous_value", "new_value", line.alias("line")
-    )
+    columns = ["setting_name", "workspace_name", "change_type", "previous_value", "new_value"]
+    return numbered(changes.select(*columns, line.alias("line")), *columns)
 
 
 def preview_alert(
@@ -47,7 +52,10 @@ def preview_alert(
 def preview_alert_lines(
     history: DataFrame, layout: Layout = Layout(), only_latest_run: bool = False
 ) -> DataFrame:
-    """One row per preview setting that was just switched on, with the ``line`` that reports it."""
+    """One row per preview setting that was just switched on, with the ``line`` that reports it and its ``number``.
+
+    Numbers run from 1 in the order of setting_name and workspace, which name a row.
+    """
     line = F.concat(
         "setting_name",
         F.lit(" [ws "),
@@ -58,7 +66,7 @@ def preview_alert_lines(
         _or("current_value", "(none)"),
     )
     enabled = newly_enabled_previews(history, layout, only_latest_run)
-    return enabled.withColumn("line", line)
+    return numbered(enabled.withColumn("line", line), "setting_name", "workspace")
 
 
 def newly_enabled_previews(

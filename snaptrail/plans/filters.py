@@ -43,3 +43,39 @@ def filter_values(dataset: DataFrame, column: str, others: Column | None = None)
     """Every value a filter offers, and how many of its rows pass the other filters."""
     passing = F.lit(True) if others is None else others
     return dataset.groupBy(column).agg(F.count_if(passing).alias("selectable_rows"))
+
+
+def page_filter_values(dataset: DataFrame, conditions: Mapping[str, Column]) -> DataFrame:
+    """The values of all filters of a page in one pass: filter, value (as text), selectable_rows.
+
+    ``conditions`` maps the column of each filter to the condition that this filter itself puts on rows.
+    As in :func:`filter_values`, a value counts the rows that pass all *other* filters, and every value
+    is listed, the missing one too. The dataset is read once, however many filters there are: rows are
+    counted per task for each filter (grouping sets) before they are shuffled.
+    """
+    columns = list(conditions)
+    if not columns:
+        raise ValueError("a page without filters has no values")
+    counts = [
+        F.count_if(reduce(Column.__and__, [conditions[o] for o in columns if o != c], F.lit(True))).alias(f"_rows_{i}")
+        for i, c in enumerate(columns)
+    ]
+    # Grouping on copies, so that conditions see the values of all columns in every set.
+    copies = [f"_filter_{i}" for i in range(len(columns))]
+    copied = dataset.withColumns({copy: F.col(c) for copy, c in zip(copies, columns)})
+    grouped = copied.groupingSets([[copy] for copy in copies], *copies).agg(
+        *counts, *(F.grouping(copy).alias(f"_out_{i}") for i, copy in enumerate(copies))
+    )
+
+    def of_its_filter(values: Sequence[Column]) -> Column:
+        return reduce(
+            lambda other, i: F.when(F.col(f"_out_{i}") == 0, values[i]).otherwise(other),
+            range(len(columns)),
+            F.lit(None),
+        )
+
+    return grouped.select(
+        of_its_filter([F.lit(c) for c in columns]).alias("filter"),
+        of_its_filter([F.col(copy).cast("string") for copy in copies]).alias("value"),
+        of_its_filter([F.col(f"_rows_{i}") for i in range(len(columns))]).alias("selectable_rows"),
+    )

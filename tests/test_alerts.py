@@ -32,6 +32,20 @@ def test_drift_alert_lines(spark):
     ]
 
 
+def test_lines_are_numbered_in_a_fixed_order(spark):
+    rows = [(run, ws, f"s{i:03}", str(run)) for run in (1, 2) for ws in (None, 1, 2) for i in range(150)]
+    found = alerts.drift_alert_lines(history(spark, rows)).collect()
+    found.sort(key=lambda row: row.number)
+    assert [row.number for row in found] == list(range(1, 451))
+    keys = [(row.setting_name, row.workspace_name or "") for row in found]
+    assert keys == sorted(keys)
+    previews = [(1, ws, f"p{i}", "true", BETA) for i in range(3) for ws in (2, 1)]
+    found = sorted(alerts.preview_alert_lines(history(spark, previews)).collect(), key=lambda row: row.number)
+    assert [(row.number, row.setting_name, row.workspace) for row in found] == [
+        (1, "p0", 1), (2, "p0", 2), (3, "p1", 1), (4, "p1", 2), (5, "p2", 1), (6, "p2", 2)
+    ]
+
+
 def test_drift_alert_sees_the_newest_run_only(spark):
     rows = [(1, 1, "s", "x"), (2, 1, "s", "y"), (3, 1, "s", "y")]
     frame = history(spark, rows)

@@ -1,6 +1,7 @@
 """Datasets, widgets and filters where the oracle's data does not reach."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from snaptrail.operators.latest import latest_snapshot
 from snaptrail.plans import datasets, filters, widgets
@@ -43,6 +44,27 @@ def test_filters_combine(current):
     assert filters.filtered(current, clicked={"scope": "workspace", "is_preview": True}).count() == 2
 
 
+def test_all_filter_values_in_one_pass(current):
+    conditions = {"workspace_name": filters.matches("ws-1"), "category": filters.matches(categories=["x"]), "scope": F.lit(True)}
+    found = filters.page_filter_values(current, conditions)
+    expected = []
+    for column in conditions:
+        others = [condition for other, condition in conditions.items() if other != column]
+        single = filters.filter_values(current, column, others[0] & others[1])
+        expected += [(column, *row) for row in single.collect()]
+    assert rows_of(found) == sorted(expected, key=str)
+    assert len({row.filter for row in found.collect()}) == 3
+
+
+def test_the_page_reads_its_dataset_once(spark, tmp_path):
+    spark.createDataFrame([("w", "c")], "workspace_name STRING, category STRING").write.parquet(str(tmp_path / "t"))
+    page = {"workspace_name": filters.matches("w"), "category": filters.matches(categories=["c"])}
+    found = filters.page_filter_values(spark.read.parquet(str(tmp_path / "t")), page)
+    assert final_plan(found).count("Location: ") == 1
+    with pytest.raises(ValueError):
+        filters.page_filter_values(found, {})
+
+
 def test_values_that_the_other_filters_exclude_stay_on_offer(current):
     offered = filters.filter_values(current, "workspace_name", filters.matches(categories=["x"]))
     assert rows_of(offered) == [("ws-1", 1), ("ws-2", 0), (None, 1)]
