@@ -1,8 +1,8 @@
 """Mixing sources to target weights by Sainte-Laguë apportionment of equal-token blocks.
 
 Every source gets a target of words. Targets and documents are counted in blocks of equal size. The
-blocks of the mix are apportioned to the sources by the highest quotients size / (2 seats + 1), and
-those of a source to its shards in the same way. A shard then selects its quota of blocks in a seeded
+blocks of the mix are apportioned to the sources by the highest quotients size / (2 seats + 1), those
+of a source to parts of its shards, and those of a part to its shards, in the same way. A shard then selects its quota of blocks in a seeded
 order of its documents: whole rounds over all blocks first, then the blocks at the front.
 """
 
@@ -28,6 +28,9 @@ BLOCK_WORDS = 8
 # Words of a shard, the unit that one task selects from.
 SHARD_WORDS = 500_000
 
+# Shards of a source that one task apportions. More of them are apportioned part by part.
+PART_SHARDS = 4096
+
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -122,15 +125,17 @@ def mix(
     """
     key = [F.col(key_col).alias("key")] if key_col else []
     by_key = ["key"] if key_col else []
+    words = word_count(F.col(text_col))
+    # The text is part of it, so that rows without an id, or of one id, are spread over the shards.
+    draw = F.xxhash64(F.lit(seed), F.col(id_col), words, F.col(text_col)).alias("draw")
     rows = docs.select(
-        F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), *key
+        F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), words.alias("size"), draw, *key
     )
-    rows = rows.withColumn("draw", F.xxhash64(F.lit(seed), "doc_id", "size"))
     rows = cut_lineage(rows)
     sized = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     sources = targets(sized, weights, max_repeats)
     sources = _quotas(
-        sources.withColumn("party", F.lit(0)), "party", "target", "target", block_words, max_repeats, "blocks"
+        sources.withColumn("party", F.lit(0)), ["party"], "source", "target", "target", block_words, max_repeats, "blocks"
     ).drop("party")
     # Shards of about equal size; a source with a third of all rows has that share of all shards.
     shards = F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard_words))
@@ -138,9 +143,15 @@ def mix(
     rows = _with(rows, sources, ["source"]).withColumn("shard", F.pmod(F.col("draw"), F.col("shards")))
     # Pre-aggregated before the shuffle: one row per shard.
     cells = rows.groupBy("source", "shard").agg(
-        F.sum("size").alias("words"), F.first("target").alias("target"), F.first("blocks").alias("source_blocks")
+        F.sum("size").alias("words"), F.first("blocks").alias("source_blocks")
+    )
+    cells = cut_lineage(cells.withColumn("part", F.floor(F.col("shard") / PART_SHARDS)))
+    parts = cells.groupBy("source", "part").agg(
+        F.sum("words").alias("words"), F.first("source_blocks").alias("source_blocks")
     )
-    cells = _quotas(cells, "source", "words", "source_blocks", block_words, max_repeats, "quota")
+    parts = _quotas(parts, ["source"], "part", "words", "source_blocks", block_words, max_repeats, "part_blocks")
+    cells = _with(cells, parts.select("source", "part", "part_blocks"), ["source", "part"])
+    cells = _quotas(cells, ["source", "part"], "shard", "words", "part_blocks", block_words, max_repeats, "quota")
     cells = cut_lineage(cells.select("source", "shard", "words", "quota"))
     rows = _with(rows, cells, ["source", "shard"])
     seeded = Window.partitionBy("source", "shard").orderBy(F.hash("draw"), "draw", "doc_id", "size", *by_key)
@@ -172,18 +183,24 @@ def _with(rows: DataFrame, side: DataFrame, on: list[str]) -> DataFrame:
 
 
 def _quotas(
-    parties: DataFrame, house: str, size: str, total: str, block_words: int, max_repeats: int, name: str
+    parties: DataFrame,
+    house: list[str],
+    party: str,
+    size: str,
+    total: str,
+    block_words: int,
+    max_repeats: int,
+    name: str,
 ) -> DataFrame:
-    """Apportion the blocks of each ``house`` to its rows by ``size``.
+    """Apportion the blocks of each ``house`` to its parties by ``size``.
 
-    For sources the house has as many blocks as all targets make up; for the shards of a source,
-    ``total`` is the number of blocks the source was given.
+    For sources the house has as many blocks as all targets make up; below them, ``total`` is the number
+    of blocks that a source, or a part of its shards, was given.
     """
-    of_sources = name == "blocks"
+    of_sources = party == "source"
 
     def apportioned(group: pd.DataFrame) -> pd.DataFrame:
-        order = ["source"] if of_sources else ["shard"]
-        group = group.sort_values(order, na_position="last", ignore_index=True)
+        group = group.sort_values(party, na_position="last", ignore_index=True)
         seats = round(group[total].sum() / block_words) if of_sources else int(group[total].iloc[0])
         words = group["source_size"] if of_sources else group["words"]
         most = -(-(words.to_numpy() * max_repeats) // block_words)
@@ -191,7 +208,7 @@ def _quotas(
         return group
 
     schema = parties.withColumn(name, F.lit(0).cast("long")).schema
-    return parties.groupBy(house).applyInPandas(_typed(apportioned, schema.names), schema)
+    return parties.groupBy(*house).applyInPandas(_typed(apportioned, schema.names), schema)
 
 
 def _typed(function: Callable[[pd.DataFrame], pd.DataFrame], names: list[str]):

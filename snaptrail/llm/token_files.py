@@ -8,6 +8,7 @@ without any token.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -30,6 +31,9 @@ PAGE_BYTES = 128 << 10
 PAGE_ROWS = 1000
 DICTIONARY_BYTES = 512 << 10
 
+# Documents of a file at most: a task that needs a longer part of the order writes several files.
+FILE_ROWS = 500_000
+
 WRITER = {
     "parquet.writer.version": "v2",
     "parquet.enable.dictionary": "true",
@@ -38,10 +42,12 @@ WRITER = {
     "parquet.page.size": PAGE_BYTES,
     "parquet.page.row.count.limit": PAGE_ROWS,
     "compression": "zstd",
+    "maxRecordsPerFile": FILE_ROWS,
 }
 
-# Pieces of text whose ids a task remembers. When it is full, it starts again.
+# Pieces of text whose ids a task remembers, and their characters. Beyond either, it starts again.
 REMEMBERED = 400_000
+REMEMBERED_CHARACTERS = 16 << 20
 
 # White space, and characters that not every version of Unicode calls so: no piece starts with them.
 _BLANK = "[\\s\u180e\u200b\u2060\ufeff]"
@@ -55,7 +61,8 @@ class Encoder:
     A byte-level tokenizer splits a text into words first, and a space before a word always starts a new
     one. So a text may be cut at each space that a visible character follows, and the pieces, most of
     them seen before, be encoded on their own. Texts with a special token of the tokenizer, which is
-    searched before words are split, are encoded whole.
+    searched before words are split, are encoded whole, and so are all texts with a tokenizer that does
+    more than that: any normalizer, another splitter than the byte-level one, or one that adds a space.
     """
 
     def __init__(self, tokenizer_path: str):
@@ -63,6 +70,7 @@ class Encoder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
         self.special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
+        self.in_pieces = splits_at_spaces(json.loads(self.tokenizer.to_str()))
         vocabulary = self.tokenizer.get_vocab()
         # Each character of a byte-level token stands for a byte.
         self.bytes_of = np.zeros(max(vocabulary.values()) + 1, np.int64)
@@ -75,7 +83,10 @@ class Encoder:
         self.lengths, self.starts, self.flat = (Growing(kind) for kind in (np.int64, np.int64, np.uint32))
 
     def batch(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.place) > REMEMBERED:
+        if not self.in_pieces:
+            found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+            return [np.array(encoding.ids, np.uint32) for encoding in found]
+        if len(self.place) > REMEMBERED or self.place.characters > REMEMBERED_CHARACTERS:
             self._forget()
         whole = [any(token in text for token in self.special) for text in texts]
         # Of a text that is encoded whole, all of it is its first piece.
@@ -112,6 +123,20 @@ class Encoder:
         return self.flat.values[np.repeat(starts - ends + lengths, lengths) + np.arange(ends[-1])]
 
 
+def splits_at_spaces(settings: dict) -> bool:
+    """Whether a tokenizer, by its settings, only splits texts byte-level, each space starting a new word."""
+    splitter = settings.get("pre_tokenizer") or {}
+    return (
+        settings["model"]["type"] == "BPE"
+        and splitter.get("type") == "ByteLevel"
+        and splitter.get("use_regex", True)
+        and not splitter.get("add_prefix_space", True)
+        and not any(settings.get(part) for part in ("normalizer", "truncation", "padding"))
+        and not settings["model"].get("continuing_subword_prefix")
+        and not settings["model"].get("end_of_word_suffix")
+    )
+
+
 @cache
 def encoder_of(tokenizer_path: str) -> Encoder:
     """One for each Python worker, which keeps it from task to task."""
@@ -123,9 +148,11 @@ class Places(dict):
 
     def __init__(self):
         self.new: list[str] = []
+        self.characters = 0
 
     def __missing__(self, piece: str) -> int:
         self.new.append(piece)
+        self.characters += len(piece)
         place = self[piece] = len(self)
         return place
 
@@ -163,7 +190,8 @@ def encode(
 ) -> DataFrame:
     """doc_id, n_tokens, token_ids: the ids of every whole text, and ``end_id`` at their end.
 
-    Null and empty texts have the end id only.
+    Null and empty texts have the end id only. Texts are encoded whole, however long; rows that repeat
+    are encoded each, and an empty table gives an empty result.
     """
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,7 +217,8 @@ def write(
 ) -> None:
     """Encode ``docs`` and write the files in ascending order of ids, nulls first, ties by text.
 
-    The file names ascend with the ids. Texts, which are shorter than their ids, are what is shuffled.
+    The file names ascend with the ids, in files of ``FILE_ROWS`` documents at most. Rows that repeat are
+    written as often as they are there; an empty table gives a file without rows. Texts, which are shorter than their ids, are what is shuffled.
     """
     rows = documents(docs, id_col, text_col)
     ordered = rows.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import random
 import re
 import zlib
@@ -11,9 +12,10 @@ from itertools import groupby
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from snaptrail.llm import language_id, token_files, toxicity
+from snaptrail.llm import language_id, mixing, token_files, toxicity
 from snaptrail.llm.components import components
 from snaptrail.llm.decontamination import contamination
 from snaptrail.llm.exact_dedup import exact_groups
@@ -197,6 +199,41 @@ def test_encoder_equals_tokenizer_on_odd_spaces_and_special_tokens():
         assert " ".join(token_files.cut(text)) == text
 
 
+def test_encoder_equals_tokenizers_that_do_more_than_split():
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    encoder, tokenizer = token_files.Encoder(vocabulary), Tokenizer.from_file(vocabulary)
+    assert not encoder.in_pieces
+    texts = ["Some  UPPER case", "", "  é中 x", "don't <|endoftext|> stop", "a\n\nb"]
+    for text, ids in zip(texts, encoder.batch(texts)):
+        assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    settings = json.loads(Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")).to_str())
+    assert token_files.splits_at_spaces(settings)
+    spaced = settings["pre_tokenizer"] | {"add_prefix_space": True}
+    for other in ({"normalizer": {"type": "NFC"}}, {"pre_tokenizer": None}, {"pre_tokenizer": spaced}):
+        assert not token_files.splits_at_spaces(settings | other)
+
+
+def test_encoder_forgets_by_characters(monkeypatch):
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    encoder, tokenizer = token_files.Encoder(vocabulary), Tokenizer.from_file(vocabulary)
+    monkeypatch.setattr(token_files, "REMEMBERED_CHARACTERS", 50)
+    for i in range(5):
+        texts = ["x" * 100 + f" word{i} and " + "y" * 40, "and word"]
+        assert [ids.tolist() for ids in encoder.batch(texts)] == [tokenizer.encode(t).ids for t in texts]
+        assert encoder.place.characters < 100
+
+
+def test_token_files_are_rolled(spark, tmp_path, monkeypatch):
+    monkeypatch.setitem(token_files.WRITER, "maxRecordsPerFile", 7)
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(100)], "doc_id long, text string")
+    token_files.write(docs, public_tokenizers.path("byte_bpe_50k.json"), str(tmp_path / "tokens"))
+    assert len(list((tmp_path / "tokens").glob("*.parquet"))) >= 100 // 7
+    rows = token_files.checksums(spark, str(tmp_path / "tokens")).orderBy("doc_id").collect()
+    starts = np.cumsum([0] + [row.n_tokens for row in rows])
+    assert [row.doc_id for row in rows] == list(range(100))
+    assert [row.start for row in rows] == starts[:-1].tolist()
+
+
 def test_toxicity_learns_and_handles_edge_cases(spark, edge):
     random.seed(1)
     plain = [random.choice("bcdfg") + random.choice("aeiou") + random.choice("lmnrst") for _ in range(40)]
@@ -509,6 +546,28 @@ def test_mix_comes_near_its_targets_and_keeps_its_limits(spark, edge):
     assert mix(edge.limit(0)).count() == 0
 
 
+def test_mix_apportions_many_shards_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "PART_SHARDS", 4)
+    docs = [(i, "w " * (1 + i % 90), "big" if i % 5 else None) for i in range(2000)]
+    table = spark.createDataFrame(docs, "doc_id long, text string, source string")
+    rows = mix(table, shard_words=1_000).collect()
+    assert len(rows) == 2000 and all(0 <= row.taken <= 3 * row.size for row in rows)
+    for source in ("big", None):
+        some = [row for row in rows if row.source == source]
+        # Only where a part or shard ends within a block can words be missing.
+        assert abs(sum(row.taken for row in some) - some[0].target) <= 0.01 * some[0].target
+
+
+def test_mix_spreads_rows_without_id(spark):
+    docs = [(None, f"{i} words here", "s") for i in range(4000)]
+    table = spark.createDataFrame(docs, "doc_id long, text string, source string")
+    found = mix(table, shard_words=600)
+    assert found.count() == 4000
+    shards = table.select((F.xxhash64(F.lit(0), "doc_id", F.lit(3).cast("long"), "text") % 20).alias("shard"))
+    assert max(row["count"] for row in shards.groupBy("shard").count().collect()) < 400
+    assert sum(row.taken for row in found.collect()) == 12_000
+
+
 def test_language_id_learns_rejects_and_handles_edge_cases(spark, edge):
     random.seed(8)
     syllables = {"xx": ["ka", "to", "mi", "ru"], "yy": ["schl", "ung", "ü", "eit"], "zz": ["д", "жа", "во"]}
