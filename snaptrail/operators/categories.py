@@ -11,7 +11,8 @@ from snaptrail.functions.values import label_array, labels_version
 from snaptrail.operators.lookup import BROADCAST_BYTES, lookup
 
 # A classifier gets the text to classify and the array of labels, and returns a string column;
-# it may be built from Spark functions or wrap a pandas UDF.
+# it may be built from Spark functions or wrap a pandas UDF. It may also return a struct of category and
+# error, for texts that it fails on.
 Classifier = Callable[[Column, Column], Column]
 
 MAP_KEYS = ("setting_name", "labels_version")
@@ -52,18 +53,38 @@ def classify_new(
     ``tasks`` spreads a slow classifier: new settings are few bytes, which Spark would otherwise
     put into few tasks.
     """
+    new = unclassified(settings, category_map, labels)
+    return classified(new, labels, classifier, classified_at, tasks).drop("error")
+
+
+def unclassified(settings: DataFrame, category_map: DataFrame, labels: Iterable[str] | str) -> DataFrame:
+    """The rows of ``settings`` that the map has no entry for under the given label set."""
+    known = category_map.where(F.col("labels_version") == labels_version(label_array(labels)))
+    return settings.join(known.select("setting_name"), "setting_name", "left_anti")
+
+
+def classified(
+    settings: DataFrame,
+    labels: Iterable[str] | str,
+    classifier: Classifier,
+    classified_at: Column,
+    tasks: int | None = None,
+) -> DataFrame:
+    """Category-map rows for all of ``settings``, and ``error``, which a classifier may give with its result."""
     label_list = label_array(labels)
-    version = labels_version(label_list)
-    known = category_map.where(F.col("labels_version") == version).select("setting_name")
     text = F.concat(F.col("setting_name"), F.lit(": "), F.coalesce(F.col("descr"), F.lit("")))
-    new = settings.join(known, "setting_name", "left_anti")
     if tasks is not None:
-        new = new.repartition(tasks, "setting_name")
-    return new.select(
+        settings = settings.repartition(tasks, "setting_name")
+    found = settings.select("setting_name", classifier(text, label_list).alias("_found"))
+    category, error = F.col("_found"), F.lit(None).cast("string")
+    if found.schema["_found"].dataType.typeName() == "struct":
+        category, error = F.col("_found.category"), F.col("_found.error")
+    return found.select(
         "setting_name",
-        classifier(text, label_list).alias("category"),
-        version.alias("labels_version"),
+        category.alias("category"),
+        labels_version(label_list).alias("labels_version"),
         classified_at.alias("classified_at"),
+        error.alias("error"),
     )
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from snaptrail.functions.values import label_names
 from snaptrail.operators import categories, ingest
+from snaptrail.plans.classification import classify_settings
 from snaptrail.plans.views import register_views
 from snaptrail.sources import tables
 from snaptrail.sources.run_store import PathStore
@@ -45,27 +46,16 @@ def collect(
 ) -> DataFrame:
     """Classify the rows of a run, append them to the history and return the whole history.
 
-    Classification is best effort: if the classifier fails, the settings it would have named stay
-    without a category in this run and are tried again in the next. Failures of storage are raised,
-    and nothing of the run is appended then. Blank labels count as none, and without labels nothing
+    Classification is best effort: settings that the classifier fails on stay without a category in
+    this run, are kept with the error among the store's failures, and are tried again in the next run.
+    Failures of storage are raised, and nothing of the run is appended then. Blank labels count as none, and without labels nothing
     is classified.
     """
     spark = rows.sparkSession
     labels = label_names(labels)
     if labels:
         settings = categories.distinct_settings(rows)
-        known = store.categories(spark)
-        new = categories.classify_new(settings, known, labels, classifier, classified_at, classifier_tasks)
-        # The classifier runs here and nowhere else, so that storage can fail on its own.
-        new = new.persist()
-        try:
-            new.count()
-        except Exception as error:  # any failure of a user's classifier surfaces here
-            logger.error("classification failed, new settings stay uncategorized: %s", error)
-        else:
-            store.append_categories(new)
-        finally:
-            new.unpersist()
+        classify_settings(settings, store, labels, classifier, classified_at, classifier_tasks)
         rows = categories.apply_categories(rows, store.categories(spark), labels)
     else:
         logger.warning("no labels given, settings stay uncategorized")

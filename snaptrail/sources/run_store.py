@@ -20,7 +20,6 @@ import json
 import uuid
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -42,6 +41,8 @@ from snaptrail.layout import HISTORY_SCHEMA, KnownRuns, Layout
 from snaptrail.operators import alerts
 from snaptrail.operators.drift import categorized, drift
 from snaptrail.sources import tables
+from snaptrail.sources.files import delete, names, read_or_empty
+from snaptrail.sources.keyed_map import KeyedMap
 
 # Partitions of the history: the UTC date of the run, and the run in microseconds since 1970.
 RUN_DATE = tables.RUN_DATE
@@ -94,7 +95,7 @@ class PathStore:
                 stored = spark.createDataFrame(counts, _COUNTS_SCHEMA).withColumn("stored_at", F.current_timestamp())
                 _append(stored.coalesce(1), self._path("runs"))
         finally:
-            _delete(spark, staged_path)
+            delete(spark, staged_path)
 
     def history(self, spark: SparkSession) -> DataFrame:
         """All stored rows with the union of all columns; empty if none is stored. Opens no file of them."""
@@ -133,17 +134,29 @@ class PathStore:
         return found.where(F.col("last_run") == _run(kind, F.lit(newest))) if only_latest_run else found
 
     def append_categories(self, updates: DataFrame) -> None:
-        tables.append_categories(updates, self.map_path)
+        """Update the category map by key; see :class:`snaptrail.sources.keyed_map.KeyedMap`."""
+        KeyedMap(self.map_path).update(updates)
 
     def categories(self, spark: SparkSession) -> DataFrame:
-        return tables.read_categories(spark, self.map_path)
+        return KeyedMap(self.map_path).read(spark)
+
+    def staging(self, spark: SparkSession) -> str:
+        """The folder for results of classification that are on their way to the map."""
+        return f"{self.map_path}/classification"
+
+    def append_failures(self, failed: DataFrame) -> None:
+        _append(failed.select(*tables.FAILURES), f"{self.map_path}/failures")
+
+    def failures(self, spark: SparkSession) -> DataFrame:
+        """Every failed try to classify a setting: setting_name, labels_version, classified_at, error."""
+        return read_or_empty(spark, f"{self.map_path}/failures", tables.FAILURES_SCHEMA)
 
     def _path(self, part: str) -> str:
         return f"{self.history_path}/{part}"
 
     def _schema(self, spark: SparkSession) -> StructType | None:
         """All entries of the schema table together; it has one for each time the schema grew."""
-        entries = _read(spark, self._path("schema"), _parse_datatype_string("columns STRING")).collect()
+        entries = read_or_empty(spark, self._path("schema"), _parse_datatype_string("columns STRING")).collect()
         schemas = [StructType.fromJson(json.loads(row.columns)) for row in entries]
         merged = None
         for schema in sorted(schemas, key=len):
@@ -152,17 +165,17 @@ class PathStore:
 
     def _rows(self, spark: SparkSession, schema: StructType) -> DataFrame:
         partitions = [StructField(RUN_DATE, DateType()), StructField(RUN_KEY, LongType())]
-        return _read(spark, self._path("rows"), StructType([*schema.fields, *partitions]))
+        return read_or_empty(spark, self._path("rows"), StructType([*schema.fields, *partitions]))
 
     def _runs(self, spark: SparkSession, kind: DataType) -> DataFrame:
-        entries = _read(spark, self._path("runs"), _parse_datatype_string(_RUNS_SCHEMA))
+        entries = read_or_empty(spark, self._path("runs"), _parse_datatype_string(_RUNS_SCHEMA))
         newest = F.max_by(F.struct("settings_count", "workspaces"), "stored_at")
         by_run = entries.groupBy(RUN_KEY).agg(newest.alias("_last"))
         run = _run(kind, F.col(RUN_KEY)).alias("collected_at")
         return by_run.select(run, RUN_KEY, "_last.settings_count", "_last.workspaces")
 
     def _newest_key(self, spark: SparkSession) -> int | None:
-        runs = _read(spark, self._path("runs"), _parse_datatype_string(_RUNS_SCHEMA))
+        runs = read_or_empty(spark, self._path("runs"), _parse_datatype_string(_RUNS_SCHEMA))
         return runs.agg(F.max(RUN_KEY)).first()[0]
 
     def _count(self, staged: DataFrame) -> DataFrame:
@@ -171,11 +184,11 @@ class PathStore:
         )
 
     def _derived(self, spark: SparkSession, part: str, schema: str) -> DataFrame:
-        return _read(spark, self._path(part), _parse_datatype_string(f"{schema}, {RUN_KEY} BIGINT"))
+        return read_or_empty(spark, self._path(part), _parse_datatype_string(f"{schema}, {RUN_KEY} BIGINT"))
 
     def _neighbours(self, spark: SparkSession, keys: list[int]) -> _Neighbours:
         """Of the time line, including runs that are being stored, what touches the runs ``keys``."""
-        runs = _read(spark, self._path("runs"), _parse_datatype_string(_RUNS_SCHEMA)).select(RUN_KEY)
+        runs = read_or_empty(spark, self._path("runs"), _parse_datatype_string(_RUNS_SCHEMA)).select(RUN_KEY)
         every = runs.union(spark.createDataFrame([(key,) for key in keys], f"{RUN_KEY} BIGINT")).distinct()
         before, newest = F.lag(RUN_KEY).over(Window.orderBy(RUN_KEY)), F.max(RUN_KEY).over(Window.partitionBy())
         times = every.select(RUN_KEY, before.alias("before"), newest.alias("newest"))
@@ -221,7 +234,7 @@ class PathStore:
         # States of older runs that the stored ones follow or replace, and those that nobody needs.
         for old in sorted(key for key in states if key < newest):
             if old >= times.first or old in sorted(states | {newest})[:-STATES_KEPT]:
-                _delete(spark, f"{self._path('previews')}/{RUN_KEY}={old}")
+                delete(spark, f"{self._path('previews')}/{RUN_KEY}={old}")
 
 
 @dataclass(frozen=True)
@@ -304,28 +317,5 @@ def _replace(rows: DataFrame, path: str, *partitions: str) -> None:
     writer.partitionBy(*partitions).parquet(path)
 
 
-def _read(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
-
-
-def _folder(spark: SparkSession, path: str):
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    folder, files = _folder(spark, path)
-    files.delete(folder, True)
-
-
 def _partitions(spark: SparkSession, path: str) -> set[int]:
-    folder, files = _folder(spark, path)
-    if not files.exists(folder):
-        return set()
-    names = [status.getPath().getName() for status in files.listStatus(folder)]
-    return {int(name.split("=")[1]) for name in names if name.startswith(f"{RUN_KEY}=")}
+    return {int(name.split("=")[1]) for name in names(spark, path) if name.startswith(f"{RUN_KEY}=")}

@@ -5,16 +5,22 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snaptrail.functions.values import utc_date
 from snaptrail.layout import CATEGORY_MAP_SCHEMA, HISTORY_SCHEMA, Layout
+from snaptrail.operators.lookup import shared_folder
+from snaptrail.sources.catalog_views import recreate_views
+from snaptrail.sources.keyed_map import newest_entries
 
 # The history is partitioned by the UTC date of the run.
 RUN_DATE = "collected_on"
 STORED_HISTORY = Layout(run_partition=RUN_DATE)
 
+FAILURES = ("setting_name", "labels_version", "classified_at", "error")
+FAILURES_SCHEMA = "setting_name STRING, labels_version STRING, classified_at TIMESTAMP, error STRING"
+
 _NOTHING_STORED = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
@@ -32,7 +38,7 @@ def read_history(spark: SparkSession, path: str, schema: str | None = None) -> D
 
 
 def append_snapshot_to_table(rows: DataFrame, table: str) -> None:
-    """Append runs to a catalog table, adding the columns it lacks.
+    """Append runs to a catalog table, adding the columns it lacks, to the lasting views over it, too.
 
     The catalog keeps the schema, so readers of any number of files open no footers to find it.
     """
@@ -63,14 +69,6 @@ def read_categories(spark: SparkSession, path: str) -> DataFrame:
     return newest_entries(_read(spark, path, CATEGORY_MAP_SCHEMA, CATEGORY_MAP_SCHEMA))
 
 
-def newest_entries(stored: DataFrame) -> DataFrame:
-    """For each setting and label set, the category-map row classified last."""
-    newest = Window.partitionBy("setting_name", "labels_version").orderBy(
-        F.desc_nulls_last("classified_at"), F.asc_nulls_last("category")
-    )
-    return stored.withColumn("_rank", F.row_number().over(newest)).where("_rank = 1").drop("_rank")
-
-
 @dataclass(frozen=True)
 class CatalogStore:
     """History and category map as two catalog tables, created when first used."""
@@ -96,6 +94,22 @@ class CatalogStore:
         create_category_table(spark, self.map_table)
         return newest_entries(spark.table(self.map_table))
 
+    def staging(self, spark: SparkSession) -> str:
+        """The shared folder for results of classification that are on their way to the map."""
+        return f"{shared_folder(spark)}/classification-{self.map_table}"
+
+    def append_failures(self, failed: DataFrame) -> None:
+        self._create_failures(failed.sparkSession)
+        _append_to_table(failed.select(*FAILURES), f"{self.map_table}_failures")
+
+    def failures(self, spark: SparkSession) -> DataFrame:
+        """Every failed try to classify a setting: setting_name, labels_version, classified_at, error."""
+        self._create_failures(spark)
+        return spark.table(f"{self.map_table}_failures")
+
+    def _create_failures(self, spark: SparkSession) -> None:
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {self.map_table}_failures ({FAILURES_SCHEMA}) USING parquet")
+
 
 def _append_to_table(rows: DataFrame, table: str) -> None:
     spark = rows.sparkSession
@@ -103,6 +117,7 @@ def _append_to_table(rows: DataFrame, table: str) -> None:
     added = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name not in stored]
     if added:
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(added)})")
+        recreate_views(spark, table)
     aligned = [
         (F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name)
         for f in spark.table(table).schema

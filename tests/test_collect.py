@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from snaptrail.operators import ingest
+from snaptrail.plans.classification import by_row, classify_settings
 from snaptrail.plans.collect import build_snapshot, collect
 from snaptrail.plans.views import create_catalog_views, register_views
 from snaptrail.sources import tables
@@ -242,3 +243,71 @@ def test_catalog_views_last_and_see_later_runs(spark, catalog):
         order = of_session.columns
         rows = [sorted(map(str, df.select(*order).collect())) for df in (lasting, of_session)]
         assert rows[0] == rows[1] and rows[0]
+
+
+def test_catalog_views_follow_new_columns(spark, catalog):
+    run(spark, 1, catalog)
+    create_catalog_views(spark, catalog, "runs")
+    rows = history(spark, [(2, 1, "feature", "x")]).withColumn("deprecated_on", F.to_date("collected_at"))
+    catalog.append_history(rows)
+    found = spark.newSession().table("runs.settings_latest").select("setting_name", "deprecated_on").collect()
+    assert [(r.setting_name, str(r.deprecated_on)) for r in found] == [("feature", "2024-01-02")]
+
+
+def many(spark, n):
+    return spark.range(n).selectExpr("concat('s', id) AS setting_name", "'' AS descr")
+
+
+def poisoned(text, labels):
+    bad = F.raise_error(F.concat(F.lit("no model for "), text)).cast("string")
+    return F.when(text.isin("s7: ", "s301: "), bad).otherwise(F.get(labels, 0))
+
+
+@pytest.mark.parametrize("batch_rows", [100_000, 64])
+def test_a_text_that_fails_costs_only_its_own_category(spark, store, batch_rows):
+    classify_settings(many(spark, 1000), store, "a,b", poisoned, F.lit(day(1)), batch_rows=batch_rows)
+    entries = store.categories(spark)
+    assert entries.where("category = 'a'").count() == entries.count() == 998
+    failed = {r.setting_name: r.error for r in store.failures(spark).collect()}
+    assert set(failed) == {"s7", "s301"} and all("no model for" in error for error in failed.values())
+    classify_settings(many(spark, 1000), store, "a,b", first_label, F.lit(day(2)))
+    assert {r.setting_name for r in store.categories(spark).where(F.col("classified_at") == day(2)).collect()} == set(failed)
+
+
+def test_functions_fail_by_row(spark, paths):
+    def pick(text, labels):
+        if text == "s7: ":
+            raise ValueError("odd")
+        return labels[len(text) % 2]
+
+    classify_settings(many(spark, 20), paths, "a,b", by_row(pick), F.lit(day(1)))
+    found = {r.setting_name: r.category for r in paths.categories(spark).collect()}
+    assert len(found) == 19 and found["s1"] == "a" and found["s11"] == "b"
+    assert [(r.setting_name, r.error) for r in paths.failures(spark).collect()] == [("s7", "ValueError: odd")]
+
+
+def test_a_classifier_that_is_down_is_given_up(spark, paths):
+    def down(text, labels):
+        return F.raise_error(F.lit("down")).cast("string")
+
+    classify_settings(many(spark, 50), paths, "a,b", down, F.lit(day(1)), failed_jobs=12)
+    assert paths.categories(spark).count() == 0
+    assert paths.failures(spark).select("setting_name").distinct().count() == 50
+
+
+def test_what_an_ended_run_staged_is_not_classified_again(spark, paths, monkeypatch):
+    def broken(self, updates):
+        raise OSError("storage")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(PathStore, "append_categories", broken)
+        with pytest.raises(OSError):
+            classify_settings(many(spark, 10), paths, "a,b", first_label, F.lit(day(1)))
+    assert paths.categories(spark).count() == 0
+
+    def never(text, labels):
+        return F.raise_error(F.lit("called")).cast("string")
+
+    classify_settings(many(spark, 10), paths, "a,b", never, F.lit(day(2)))
+    assert {r.classified_at for r in paths.categories(spark).collect()} == {day(1)}
+    assert paths.failures(spark).count() == 0

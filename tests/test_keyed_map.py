@@ -1,0 +1,75 @@
+"""The stored category map: updates by key, buckets, concurrent writers."""
+
+import random
+from pathlib import Path
+
+import pytest
+
+from snaptrail.sources.keyed_map import KeyedMap
+from tests.histories import category_map, day
+
+
+def entries(found):
+    return {(r.setting_name, r.labels_version): (r.category, r.classified_at) for r in found.collect()}
+
+
+def files(path):
+    return {str(f): f.stat().st_mtime_ns for f in Path(path).glob("entries/*/*/*.parquet")}
+
+
+def test_random_updates_equal_a_dictionary(spark, tmp_path):
+    stored, expected, draw = KeyedMap(str(tmp_path / "map"), buckets=4), {}, random.Random(5)
+    assert stored.read(spark).count() == 0
+    for run in range(1, 6):
+        rows = {(f"s{draw.randrange(12)}", draw.choice("vw")): draw.choice("abc") for _ in range(6)}
+        stored.update(category_map(spark, [(name, category, version, run) for (name, version), category in rows.items()]))
+        expected |= {key: (category, day(run)) for key, category in rows.items()}
+        found = stored.read(spark)
+        assert found.count() == len(expected) and entries(found) == expected
+
+
+def test_other_buckets_are_untouched(spark, tmp_path):
+    stored = KeyedMap(str(tmp_path / "map"), buckets=8)
+    stored.update(category_map(spark, [(f"s{i}", "a", "v", 1) for i in range(40)]))
+    before = files(stored.path)
+    stored.update(category_map(spark, [("s1", "b", "v", 2), ("new", "c", "v", 2)]))
+    after = files(stored.path)
+    assert before.items() <= after.items() and 1 <= len(after) - len(before) <= 2
+    assert stored.read(spark).count() == 41 and len(stored.read(spark).inputFiles()) <= 8
+    stored.remove_replaced(spark)
+    assert len(files(stored.path)) == len(stored.read(spark).inputFiles()) and stored.read(spark).count() == 41
+
+
+def test_two_writers_from_one_version_lose_nothing(spark, tmp_path, monkeypatch):
+    stored = KeyedMap(str(tmp_path / "map"), buckets=1)
+    stored.update(category_map(spark, [("a", "x", "v", 1), ("b", "x", "v", 1)]))
+    seen = stored._present(spark)
+    stored.update(category_map(spark, [("a", "first", "v", 2), ("c", "first", "v", 2)]))
+    with monkeypatch.context() as patched:
+        patched.setattr(KeyedMap, "_present", lambda self, spark: seen)
+        stored.update(category_map(spark, [("a", "second", "v", 3), ("d", "second", "v", 3)]))
+    expected = {"a": "second", "b": "x", "c": "first", "d": "second"}
+    assert len(stored._present(spark)) == 2
+    assert {r.setting_name: r.category for r in stored.read(spark).collect()} == expected
+    stored.update(category_map(spark, [("b", "y", "v", 4)]))
+    assert len(stored._present(spark)) == 1
+    assert {r.setting_name: r.category for r in stored.read(spark).collect()} == expected | {"b": "y"}
+
+
+def test_a_failed_update_changes_nothing(spark, tmp_path):
+    stored = KeyedMap(str(tmp_path / "map"))
+    rows = category_map(spark, [("a", "x", "v", 1)])
+    stored.update(rows)
+    with pytest.raises(Exception):
+        stored.update(rows.selectExpr("raise_error('no') AS setting_name", "category", "labels_version", "classified_at"))
+    stored.update(rows.where("false"))
+    assert entries(stored.read(spark)) == {("a", "v"): ("x", day(1))}
+    assert not list(Path(stored.path).glob("staged/*"))
+
+
+def test_the_stored_number_of_buckets_counts(spark, tmp_path):
+    path = str(tmp_path / "map")
+    KeyedMap(path, buckets=3).update(category_map(spark, [(f"s{i}", "a", "v", 1) for i in range(9)]))
+    KeyedMap(path, buckets=5).update(category_map(spark, [(f"s{i}", "b", "v", 2) for i in range(9)]))
+    found = KeyedMap(path).read(spark)
+    assert found.count() == 9 and {r.category for r in found.collect()} == {"b"}
