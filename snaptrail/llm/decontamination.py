@@ -24,6 +24,8 @@ SHINGLE_WORDS = 3
 # Windows, or shingles, that are broadcast at once: about 20 MB.
 BLOCK_ROWS = 200_000
 
+_OCCURRENCE = {"start": "int", "end": "int", "window_id": "long"}
+
 NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -49,14 +51,16 @@ def contamination(
     without text or without id are ignored. A null or empty text has no words. Rows that repeat are
     each judged; an empty benchmark or table is fine.
     """
-    rows = documents(docs, id_col, text_col).withColumn("key", F.xxhash64("text"))
+    rows = documents(docs, id_col, text_col).withColumn("key", F.sha2("text", 256))
     rows = rows.withColumn("words", words(F.col("text")))
-    found = stored(occurrences(rows, item_windows(benchmark, item_col, item_text_col, window_words), block_rows))
+    windows, items = item_windows(benchmark, item_col, item_text_col, window_words)
+    found = stored(occurrences(rows, windows, block_rows))
     per_doc = found.groupBy("doc_id", "key").agg(
         F.collect_set(F.struct("start", "end")).alias("spans"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_set("item_ids")))).alias("item_ids"),
+        F.array_sort(F.collect_set("window_id")).alias("windows"),
     )
-    per_doc = per_doc.select("doc_id", "key", _covered(F.col("spans")).alias("n_hit"), "item_ids")
+    per_doc = stored(per_doc.select("doc_id", "key", _covered(F.col("spans")).alias("n_hit"), "windows"))
+    per_doc = per_doc.join(_items_of(per_doc.select("windows").distinct(), items), "windows").drop("windows")
     per_doc = per_doc.select(*(F.col(c).alias(f"_{c}") for c in per_doc.columns))
     same = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("key") == F.col("_key"))
     every = rows.select("doc_id", "key", F.size("words").cast("long").alias("n_words"))
@@ -72,24 +76,37 @@ def contamination(
     )
 
 
-def item_windows(benchmark: DataFrame, item_col: str, text_col: str, window_words: int) -> DataFrame:
-    """One row per different window: its words, their number, and the items it comes from."""
+def item_windows(
+    benchmark: DataFrame, item_col: str, text_col: str, window_words: int
+) -> tuple[DataFrame, DataFrame]:
+    """The different windows (window_id, window, n), and the items they come from (window_id, item_id)."""
     items = benchmark.where(F.col(item_col).isNotNull()).select(
         F.col(item_col).cast("string").alias("item_id"), words(F.coalesce(F.col(text_col), F.lit(""))).alias("words")
     )
     n = F.size("words")
     starts = F.explode(F.sequence(F.lit(1), F.greatest(F.lit(1), n - window_words + 1)))
-    windows = items.where(n > 0).select("item_id", "words", starts.alias("first"))
-    window = F.slice("words", F.col("first"), F.lit(window_words)).alias("window")
-    grouped = windows.select("item_id", window).groupBy("window").agg(F.collect_set("item_id").alias("item_ids"))
-    return cut_lineage(grouped.withColumn("n", F.size("window")))
+    placed = items.where(n > 0).select("item_id", "words", starts.alias("first"))
+    placed = placed.select("item_id", F.slice("words", F.col("first"), F.lit(window_words)).alias("window"))
+    # The numbers are final once written.
+    different = placed.select("window").distinct()
+    windows = cut_lineage(different.select(F.monotonically_increasing_id().alias("window_id"), "window", F.size("window").alias("n")))
+    return windows, stored(placed.join(windows, "window").select("window_id", "item_id").distinct())
+
+
+def _items_of(sets: DataFrame, items: DataFrame) -> DataFrame:
+    """For each different set of windows (windows), the sorted ids of all items they come from (item_ids).
+
+    Documents that share all their windows share one list, however many they are.
+    """
+    named = sets.select("windows", F.explode("windows").alias("window_id")).join(items, "window_id")
+    return named.groupBy("windows").agg(F.array_sort(F.collect_set("item_id")).alias("item_ids"))
 
 
 def occurrences(rows: DataFrame, windows: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """doc_id, key, start, end, item_ids of each occurrence of a window in ``rows`` (doc_id, key, words)."""
+    """doc_id, key, start, end, window_id of each occurrence of a window in ``rows`` (doc_id, key, words)."""
     size = F.least(F.lit(SHINGLE_WORDS), F.col("n"))
     shingles = windows.select(
-        "window", "n", "item_ids", size.alias("size"), F.explode(F.sequence(F.lit(0), F.col("n") - size)).alias("offset")
+        "window", "n", "window_id", size.alias("size"), F.explode(F.sequence(F.lit(0), F.col("n") - size)).alias("offset")
     )
     hashes = [_shingle(F.col("window"), F.col("offset"), k) for k in range(1, SHINGLE_WORDS + 1)]
     shingles = cut_lineage(shingles.withColumn("shingle", F.element_at(F.array(*hashes), F.col("size"))))
@@ -106,16 +123,15 @@ def occurrences(rows: DataFrame, windows: DataFrame, block_rows: int = BLOCK_ROW
         counts = cut_lineage(reduce(DataFrame.unionByName, counts))
         # The rarest shingle of each window; a window with one that no document has cannot occur.
         ordered = of_size.join(counts, "shingle", "left").withColumn("count", F.coalesce("count", F.lit(0)))
-        prefix = ordered.groupBy("window", "n", "item_ids").agg(
+        prefix = ordered.groupBy("window", "n", "window_id").agg(
             F.min(F.struct("count", "shingle", "offset")).alias("rarest")
         )
-        prefix = prefix.where("rarest.count > 0").select("window", "n", "item_ids", "rarest.shingle", "rarest.offset")
+        prefix = prefix.where("rarest.count > 0").select("window", "n", "window_id", "rarest.shingle", "rarest.offset")
         for block in _blocks(cut_lineage(prefix), block_rows):
             parts.append(_verified(_positions(rows, k), block))
     if not parts:
-        nothing = windows.select("item_ids").where(F.lit(False))
-        none = F.lit(None).cast("int")
-        return rows.select("doc_id", "key", none.alias("start"), none.alias("end")).where(F.lit(False)).join(nothing)
+        nothing = [F.lit(None).cast(kind).alias(name) for name, kind in _OCCURRENCE.items()]
+        return rows.select("doc_id", "key", *nothing).where(F.lit(False))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -138,7 +154,7 @@ def _verified(positions: DataFrame, prefix: DataFrame) -> DataFrame:
     # Guarded, as a slice cannot start before the first word.
     same = F.when(bounds, F.slice("words", F.greatest(start, F.lit(0)) + 1, F.col("n")) == F.col("window"))
     matches = positions.join(F.broadcast(prefix), candidate & same)
-    return matches.select("doc_id", "key", start.alias("start"), (start + F.col("n")).alias("end"), "item_ids")
+    return matches.select("doc_id", "key", start.alias("start"), (start + F.col("n")).alias("end"), "window_id")
 
 
 def _blocks(table: DataFrame, block_rows: int) -> list[DataFrame]:

@@ -45,7 +45,7 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": EXACT_DEDUP, "op2_preferences": PREFERENCES}
+    return {"op1_exact_dedup": EXACT_DEDUP, "op2_preferences": PREFERENCES, "op5_decontamination": DECONTAMINATION}
 
 
 LOWER = f"translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}')"
@@ -76,6 +76,24 @@ SELECT conv_id AS pair_id, if(same, last, last - 1) AS n_prompt_turns, prompt,
 FROM sides JOIN prompts USING (conv_id)"""
 
 
+WORDS = rf"regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+DECONTAMINATION = f"""
+WITH item_words AS (SELECT CAST(item_id AS VARCHAR) AS item_id, {WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL),
+windows AS (SELECT DISTINCT item_id, list_slice(w, i, i + 9) AS win, least(10, len(w)) AS n
+    FROM (SELECT item_id, w, unnest(range(1, greatest(1, len(w) - 9) + 1)) AS i FROM item_words WHERE len(w) > 0)),
+doc_words AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, {WORDS} AS w FROM documents),
+placed AS (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS p FROM doc_words, (SELECT DISTINCT n FROM windows)),
+hits AS (SELECT DISTINCT r, p, placed.n AS n, item_id FROM placed JOIN windows
+    ON windows.n = placed.n AND win = list_slice(w, p, p + placed.n - 1)),
+covered AS (SELECT r, count(DISTINCT q) AS n_hit FROM (SELECT r, unnest(range(p, p + n)) AS q FROM hits) GROUP BY r),
+named AS (SELECT r, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+    FROM (SELECT DISTINCT r, item_id FROM hits) GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc_words LEFT JOIN covered USING (r) LEFT JOIN named USING (r)"""
+
+
 def _exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 

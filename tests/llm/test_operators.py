@@ -15,7 +15,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from snaptrail.llm import language_id, mixing, token_files, toxicity
+from snaptrail.llm import decontamination, language_id, mixing, token_files, toxicity
 from snaptrail.llm.components import components
 from snaptrail.llm.decontamination import contamination
 from snaptrail.llm.exact_dedup import exact_groups
@@ -315,6 +315,20 @@ def test_contamination_of_edge_cases(spark, edge):
     assert contamination(edge.limit(0), items).count() == 0
 
 
+def test_a_passage_that_all_share_is_stored_once_per_document(spark):
+    passage = " ".join(f"w{i}" for i in range(10))
+    docs = spark.createDataFrame([(i, f"d{i} {passage} e{i}") for i in range(60)], "doc_id long, text string")
+    items = spark.createDataFrame([(i, f"a{i} {passage} b{i}") for i in range(50)], "item_id long, text string")
+    windows, named = decontamination.item_windows(items, "item_id", "text", 10)
+    rows = docs.select("doc_id", F.lit("k").alias("key"), decontamination.words(F.col("text")).alias("words"))
+    found = decontamination.occurrences(rows, windows)
+    assert (windows.count(), named.count(), found.count()) == (101, 150, 60)
+    assert decontamination._items_of(found.groupBy("doc_id").agg(F.collect_set("window_id").alias("windows")).select("windows").distinct(), named).count() == 1
+    ids = sorted(str(i) for i in range(50))
+    result = contamination(docs, items).collect()
+    assert {(r.n_hit, r.n_items, tuple(r.item_ids)) for r in result} == {(10, 50, tuple(ids))}
+
+
 def brute_repeats(docs, length):
     seen, result = set(), {}
     for doc_id, text in sorted(docs):
