@@ -7,7 +7,7 @@ import json
 import random
 import re
 import zlib
-from itertools import groupby
+from itertools import groupby, product
 
 import numpy as np
 import public_tokenizers
@@ -223,6 +223,46 @@ def test_encoder_forgets_by_characters(monkeypatch):
         assert encoder.place.characters < 100
 
 
+def test_encoder_cuts_where_words_start():
+    random.seed(6)
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    encoder, tokenizer = token_files.Encoder(vocabulary), Tokenizer.from_file(vocabulary)
+    parts = ["a", "s", "Zz", "7", ".", "'", "\"", "_", " ", "\n", "\t", "\r\n", "\x1f", "\x7f", "\xa0", "\u0301", "é", "—", "中", "\u3000"]
+    texts = ["".join(some) for some in product(parts, repeat=3)]
+    texts += ["".join(random.choices(parts, k=random.randint(4, 25))) for _ in range(5000)]
+    for start in range(0, len(texts), 1000):
+        for text, ids in zip(texts[start : start + 1000], encoder.batch(texts[start : start + 1000])):
+            assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+            assert " ".join(token_files.cut(text)) == text
+
+
+def test_encoder_encodes_a_word_once_whatever_signs_follow():
+    encoder = token_files.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    encoder.batch([f"a word{sign} word{sign}\nword" for sign in ["", *",.;:!?)]"]])
+    assert set(encoder.place) == {"a", " word", "word", "\n", *",.;:!?)]"}
+
+
+def test_encoder_forgets_what_was_used_least(monkeypatch):
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    encoder, tokenizer = token_files.Encoder(vocabulary), Tokenizer.from_file(vocabulary)
+    monkeypatch.setattr(token_files, "REMEMBERED", 20)
+    for i in range(50):
+        texts = [f"often and again, rare{chr(97 + i % 26) * (i + 3)}", "again and often"]
+        assert [ids.tolist() for ids in encoder.batch(texts)] == [tokenizer.encode(t).ids for t in texts]
+        assert len(encoder.place) <= 20
+        assert {" and", " again", " often", ","} <= set(encoder.place)
+
+
+def test_token_files_cut_texts_in_parts_of_bytes(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(token_files, "PART_BYTES", 10)
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    texts = ["", "a b", "long " * 20, "", "c", "d" * 10, "e", None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    tokenizer = Tokenizer.from_file(vocabulary)
+    rows = token_files.encode(docs, vocabulary).orderBy("doc_id").collect()
+    assert [row.token_ids for row in rows] == [tokenizer.encode(text or "").ids + [0] for text in texts]
+
+
 def test_token_files_are_rolled(spark, tmp_path, monkeypatch):
     monkeypatch.setitem(token_files.WRITER, "maxRecordsPerFile", 7)
     docs = spark.createDataFrame([(i, f"text {i}") for i in range(100)], "doc_id long, text string")
